@@ -56,11 +56,18 @@ def join(
     columns = []
     for c in df.columns:
         source = next((f for f, t in target.items() if t == c), None)
-        columns.append(F.coalesce(_filled(right, source), col(c)).alias(c) if source else col(c))
+        columns.append(_prefer(_filled(right, source), col(c), right.schema[source].dataType, df.schema[c].dataType).alias(c) if source else col(c))
     columns += [F.col(quoted(f"__r_{f}")).alias(t) for f, t in target.items() if t not in df.columns]
     return joined.select(*columns)
 
 
+def _prefer(right: Column, left: Column, right_type, left_type) -> Column:
+    """Right value if there is one; columns of different types meet as text."""
+    if right_type != left_type:
+        right, left = right.cast("string"), left.cast("string")
+    return F.coalesce(right, left)
+
+
 def _filled(right: DataFrame, name: str) -> Column:
     c = F.col(quoted(f"__r_{name}"))
     return out(c) if right.schema[name].dataType.simpleString() == "string" else c
@@ -108,6 +115,15 @@ def _run_length(size: Column, runs: Sequence[int]) -> Column:
     return picked
 
 
+def _runs(tokens: Column, n: int, sep: str) -> Column:
+    """Distinct runs of n tokens (a power of two): runs are doubled by pairing the array with itself, shifted."""
+    runs, have = tokens, 1
+    while have < n:
+        runs = F.zip_with(runs, F.slice(runs, have + 1, F.size(runs)), lambda a, b: F.concat(a, F.lit(sep), b))
+        have *= 2
+    return F.array_distinct(F.array_compact(runs))
+
+
 def _word_join(df: DataFrame, f: str, phrases: DataFrame, every: bool) -> DataFrame:
     """Match against any number of phrases by equality joins, never all pairs.
 
@@ -127,11 +143,8 @@ def _word_join(df: DataFrame, f: str, phrases: DataFrame, every: bool) -> DataFr
         keyed = some.select("__v", "__n", F.array_join(F.slice("__t", F.lit(1), F.col("__n")), sep).alias("__key"))
         used = [r[0] for r in keyed.select("__n").distinct().collect()]  # at most one entry per run length
         for n in sorted(used):
-            t = split(F.col("__text"))
-            starts = F.sequence(F.lit(1), F.size(t) - (n - 1))
-            runs = F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), sep)))
             # Only row numbers and keys are multiplied; the text is joined back for candidates alone.
-            offered = texts.where(F.size(t) >= n).select("__row", F.explode(runs).alias("__key"))
+            offered = texts.select("__row", F.explode(_runs(split(F.col("__text")), n, sep)).alias("__key"))
             pairs = offered.join(keyed.where(F.col("__n") == n).drop("__n"), "__key")
             if kind == "w" and n == 1:
                 found = found.unionByName(pairs.where(F.col("__v") == F.col("__key")).select("__row", "__v"))
