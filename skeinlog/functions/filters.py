@@ -43,10 +43,14 @@ def _is_word(ch: str) -> bool:
 
 
 def _bounded(phrase: str, right: bool = True) -> str:
-    """Regex of a phrase with word boundaries where its edges are word characters."""
-    head = f"(?<!{WORD})" if _is_word(phrase[0]) else ""
+    """Regex of a phrase with word boundaries where its edges are word characters.
+
+    The text itself comes first, so the search skips to it and looks around only there.
+    """
+    text = literal_re(phrase)
+    head = f"(?<!{WORD}{text})" if _is_word(phrase[0]) else ""
     tail = f"(?!{WORD})" if right and _is_word(phrase[-1]) else ""
-    return head + literal_re(phrase) + tail
+    return text + head + tail
 
 
 def user_re(pattern: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,9 +25,9 @@ def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.parquet(path) if isinstance(path, str) else spark.read.parquet(*path)
 
 
-def _answers(spark: SparkSession, path, schema: str) -> DataFrame:
-    """One answer per file; files are spread over the executors and broken ones dropped."""
-    return spark.read.schema(schema).json(path, multiLine=True, mode="DROPMALFORMED")
+def _answers(spark: SparkSession, path, schema: str, multi_line: bool = False) -> DataFrame:
+    """One answer per line, or one per file with ``multi_line``; broken answers are dropped."""
+    return spark.read.schema(schema).json(path, multiLine=multi_line, mode="DROPMALFORMED")
 
 
 def vector_points(answers: DataFrame) -> DataFrame:
@@ -44,17 +44,17 @@ def matrix_points(answers: DataFrame) -> DataFrame:
     return points.where(F.col("ts").isNotNull() & F.col("value").isNotNull())
 
 
-def read_vector(spark: SparkSession, path) -> DataFrame:
-    return vector_points(_answers(spark, path, VECTOR))
+def read_vector(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    return vector_points(_answers(spark, path, VECTOR, multi_line))
 
 
-def read_matrix(spark: SparkSession, path) -> DataFrame:
-    return matrix_points(_answers(spark, path, MATRIX))
+def read_matrix(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    return matrix_points(_answers(spark, path, MATRIX, multi_line))
 
 
-def read_hits(spark: SparkSession, path) -> DataFrame:
+def read_hits(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
     """Series rows: fields, timestamps, values, total."""
-    return _answers(spark, path, HITS).select(F.explode("hits").alias("h")).select("h.*")
+    return _answers(spark, path, HITS, multi_line).select(F.explode("hits").alias("h")).select("h.*")
 
 
 def hit_points(series: DataFrame) -> DataFrame:
@@ -63,18 +63,18 @@ def hit_points(series: DataFrame) -> DataFrame:
     return rows.select("fields", F.col("p.timestamps").alias("ts"), F.col("p.values").alias("value"))
 
 
-def read_values(spark: SparkSession, path) -> DataFrame:
-    return _answers(spark, path, VALUES).select(F.explode("values").alias("v")).select("v.*")
+def read_values(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    return _answers(spark, path, VALUES, multi_line).select(F.explode("values").alias("v")).select("v.*")
 
 
-def read_facets(spark: SparkSession, path) -> DataFrame:
-    rows = _answers(spark, path, FACETS).select(F.explode("facets").alias("f"))
+def read_facets(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
+    rows = _answers(spark, path, FACETS, multi_line).select(F.explode("facets").alias("f"))
     return rows.select("f.field_name", F.explode("f.values").alias("v")).select("field_name", "v.*")
 
 
 def parse_lines(df: DataFrame, schema: str, text: str = "value") -> DataFrame:
     """Decode a column of answer texts with one of the shapes above; text that does not parse gives no row."""
-    parsed: Column = F.from_json(F.col(text), schema)
+    parsed = F.from_json(F.col(text), schema)
     return df.select(parsed.alias("a")).where(F.col("a").isNotNull()).select("a.*")
 
 
