@@ -15,7 +15,12 @@ from skeinlog.model import val
 
 # ---- fixed values: collapsed forms, colour codes ---------------------------
 # Numbers are words of decimal digits, or of at least four hex digits with a digit among them.
-NUMBER_RUN = r"(?<![\p{L}\p{Nd}_])(?:0x[0-9a-fA-F]+|[0-9]+|(?=[a-fA-F]*[0-9])[0-9a-fA-F]{4,})(?![\p{L}\p{Nd}_])"
+# The T and Z of a timestamp do not count as neighbouring letters.
+NUMBER_RUN = (
+    r"(?:(?<![\p{L}\p{Nd}_])|(?<=[0-9]T))"
+    r"(?:0x[0-9a-fA-F]+|[0-9]+|(?=[a-fA-F]*[0-9])[0-9a-fA-F]{4,})"
+    r"(?:(?![\p{L}\p{Nd}_])|(?=T[0-9]{2}:)|(?=Z(?![\p{L}\p{Nd}_])))"
+)
 PRETTY_FORMS = [
     (r"<N>-<N>-<N>-<N>-<N>", "<UUID>"),
     (r"<N>\.<N>\.<N>\.<N>", "<IP4>"),

@@ -99,6 +99,12 @@ def tail_sorted_batches(
     return _start(sdf, write, checkpoint, "append", trigger or {"processingTime": "1 second"})
 
 
+def append(sdf: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write the rows of a stream once each, as they come."""
+    writer = sdf.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(path)
+
+
 def upsert(sdf: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write changed rows of an aggregate, one folder per micro-batch."""
 
