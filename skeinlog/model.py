@@ -122,10 +122,12 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
     return left.join(renamed, cond, how).drop(*[f"__k{i}" for i in range(len(keys))])
 
 
-def tie_break(df: DataFrame, extra: Sequence[str] = ()) -> list[str]:
-    """Columns that settle equal sort keys, so that ordered results are repeatable."""
-    names = [*extra, TIME, STREAM_ID, MSG]
-    return list(dict.fromkeys(n for n in names if n in df.columns))
+def tie_break(df: DataFrame, given: Sequence[str] = ()) -> list[str]:
+    """Columns that settle equal sort keys, so that ordered results are repeatable.
+
+    Columns named by the caller are enough; without them time, stream and message decide.
+    """
+    return [n for n in (given or (TIME, STREAM_ID, MSG)) if n in df.columns]
 
 
 def unique_name(name: str, taken: Iterable[str]) -> str:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeinlog.model import EXTRA, attach, col, expand, field_name, group_key, is_text, ordering, out, quoted, tie_break, unique_name, val
 from skeinlog.operators.slices import Key, positioned
@@ -28,7 +29,8 @@ def sort_keys(df: DataFrame, by: Sequence[SortBy], desc: bool = False, tie: Sequ
     named = [(b, False) if isinstance(b, str) else b for b in by]
     keys = [Key(ordering(df, name), one != desc) for name, one in named]
     used = {field_name(name) for name, _ in named}
-    return keys + [Key(ordering(df, name), desc) for name in tie_break(df, tie) if name not in used]
+    # A tie only has to be settled, so raw values do; mixed order is for the fields asked for.
+    return keys + [Key(col(name), desc) for name in tie_break(df, tie) if name not in used]
 
 
 def sort(
@@ -189,9 +191,12 @@ def facets(
     if not names:
         raise ValueError("no fields")
     texts = {n: out(val(n)) for n in names}
+    # Typed values are counted as they are; only maps and the like have to become text for it.
+    plain = {n: col(n) if isinstance(df.schema[n].dataType, T.AtomicType) else texts[n] for n in names}
     seen = df.agg(
-        *[F.approx_count_distinct(texts[n], 0.02).alias(f"d{i}") for i, n in enumerate(names)],
-        *[F.coalesce(F.max(F.octet_length(texts[n])), F.lit(0)).alias(f"l{i}") for i, n in enumerate(names)],
+        *[F.approx_count_distinct(plain[n], 0.02).alias(f"d{i}") for i, n in enumerate(names)],
+        *[F.coalesce(F.max(F.octet_length(texts[n])), F.lit(0)).alias(f"l{i}") if _long(df, n, max_len) else F.lit(0).alias(f"l{i}")
+          for i, n in enumerate(names)],
     ).first()
     names = [n for i, n in enumerate(names) if seen[f"d{i}"] <= 2 * max_values and seen[f"l{i}"] <= max_len]
     spark = df.sparkSession
@@ -216,6 +221,12 @@ def facets(
     return ranked.where(keep).select("field_name", "field_value", "hits")
 
 
+def _long(df: DataFrame, name: str, max_len: int) -> bool:
+    """Whether text of this column may exceed the length; numbers and times have at most 40 characters."""
+    bounded = isinstance(df.schema[name].dataType, (T.NumericType, T.DatetimeType, T.BooleanType))
+    return not bounded or max_len < 40
+
+
 def sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """One row in n on average."""
     return df.sample(fraction=1.0 / n, seed=seed)

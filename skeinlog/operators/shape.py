@@ -223,27 +223,33 @@ def discover(keys: Column, df: DataFrame, bound: int = MAX_DISCOVERED_KEYS) -> t
     return sorted(r["k"] for r in rows[:bound]), len(rows) > bound
 
 
-def _unpacked(df: DataFrame, parsed: Column, wanted: Sequence[str], prefix: str, **options) -> DataFrame:
-    """Fields out of a map column; names beyond the discovery bound stay in the extra map."""
-    source = df.withColumn("__map", parsed)
+def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str, **options) -> DataFrame:
+    """Fields out of an array of (key, value); names beyond the discovery bound stay in the extra map.
+
+    A key given twice keeps its first value.
+    """
+    source = df.withColumn("__entries", entries)
     exact = [w for w in wanted if not w.endswith("*")]
     open_ended = [w[:-1] for w in wanted if w.endswith("*")]
     rest = False
     if open_ended:
-        some = F.filter(F.map_keys("__map"), lambda k: _any_of([k.startswith(p) for p in open_ended]))
+        keys = F.array_distinct(F.transform("__entries", lambda e: e["key"]))
+        some = keys if "" in open_ended else F.filter(keys, lambda k: _any_of([k.startswith(p) for p in open_ended]))
         found, rest = discover(some, source)
         exact += [k for k in found if k not in exact]
-    new = {prefix + k: F.coalesce(F.element_at("__map", k), F.lit("")) for k in exact}
+    value_of = lambda k: F.get(F.filter("__entries", lambda e: e["key"] == k), F.lit(0))["value"]
+    new = {prefix + k: F.coalesce(value_of(k), F.lit("")) for k in exact}
     done = assign(source, new, **options) if new else source
     if rest:
-        left = F.map_filter("__map", lambda k, _: ~k.isin(exact) & _any_of([k.startswith(p) for p in open_ended]))
-        named = F.transform_keys(left, lambda k, _: F.concat(F.lit(prefix), k))
+        keys = F.array_distinct(F.transform("__entries", lambda e: e["key"]))
+        left = F.filter(keys, lambda k: ~k.isin(exact) & _any_of([k.startswith(p) for p in open_ended]))
+        named = F.map_from_arrays(F.transform(left, lambda k: F.concat(F.lit(prefix), k)), F.transform(left, value_of))
         old = col(EXTRA) if EXTRA in df.columns else F.create_map().cast("map<string,string>")
         keep = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(named), k))
         test = options.get("iff")
         merged = F.map_concat(keep, named)
         done = done.withColumn(EXTRA, merged if test is None else F.when(test, merged).otherwise(old))
-    return done.drop("__map")
+    return done.drop("__entries")
 
 
 def _any_of(tests: Sequence[Column]) -> Column:
@@ -258,18 +264,24 @@ JSON_DEPTH = 5
 
 
 def flat_json(text: Column, preserve: Sequence[str] = (), depth: int = JSON_DEPTH) -> Column:
-    """JSON object to a flat map ``a.b`` -> text; preserved keys keep their JSON."""
-    top = F.from_json(text, "map<string,string>")
-    flat = F.map_entries(top)
+    """JSON object to flat entries ``a.b`` -> text; preserved keys keep their JSON."""
+    flat = F.map_entries(F.from_json(text, "map<string,string>"))
     for _ in range(depth - 1):
-        flat = F.flatten(F.transform(flat, lambda e: F.when(
-            (F.coalesce(e["value"], F.lit("")).startswith("{")) & ~e["key"].isin(list(preserve) or [""]) & F.from_json(e["value"], "map<string,string>").isNotNull(),
-            F.transform(
-                F.map_entries(F.from_json(e["value"], "map<string,string>")),
-                lambda x: F.struct(F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")),
-            ),
-        ).otherwise(F.array(F.struct(e["key"].alias("key"), e["value"].alias("value"))))))
-    return F.map_from_entries(flat)
+        flat = F.flatten(F.transform(flat, lambda e: _opened(e, preserve)))
+    return flat
+
+
+def _opened(e: Column, preserve: Sequence[str]) -> Column:
+    """Entries of a nested object under dotted names, or the entry itself."""
+    itself = F.array(F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    inner = F.transform(
+        F.map_entries(F.from_json(e["value"], "map<string,string>")),
+        lambda x: F.struct(F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")),
+    )
+    nested = e["value"].startswith("{")
+    if preserve:
+        nested = nested & ~e["key"].isin(list(preserve))
+    return F.when(nested, F.coalesce(inner, itself)).otherwise(itself)
 
 
 def unpack_json(
@@ -300,13 +312,10 @@ def unpack_json(
 LOGFMT = r'([^\s="]+)=("(?:[^"\\]|\\.)*"|[^\s"]*)'
 
 
-def logfmt_map(text: Column) -> Column:
+def logfmt_entries(text: Column) -> Column:
     keys = F.regexp_extract_all(text, F.lit(LOGFMT), F.lit(1))
-    values = F.transform(F.regexp_extract_all(text, F.lit(LOGFMT), F.lit(2)), textpat.unquoted)
-    entries = F.arrays_zip(keys.alias("key"), values.alias("value"))
-    # A key given twice keeps its first value.
-    first = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    return F.map_from_entries(first)
+    values = F.regexp_extract_all(text, F.lit(LOGFMT), F.lit(2))
+    return F.zip_with(keys, values, lambda k, v: F.struct(k.alias("key"), textpat.unquoted(v).alias("value")))
 
 
 def unpack_logfmt(
@@ -320,7 +329,7 @@ def unpack_logfmt(
 ) -> DataFrame:
     """Fields of ``k=v k="v w"`` text."""
     options = dict(keep_original=keep_original, skip_empty=skip_empty, iff=iff)
-    return _unpacked(df, logfmt_map(val(from_)), fields, result_prefix, **options)
+    return _unpacked(df, logfmt_entries(val(from_)), fields, result_prefix, **options)
 
 
 # ---- fixed values: syslog shapes and names ---------------------------------
