@@ -65,7 +65,7 @@ def _signed_parts(text: Column, unit_re: str, units: dict[str, int]) -> Column:
     pattern = F.lit(f"({_DIGITS})({unit_re}|$)")
     numbers = F.regexp_extract_all(text, pattern, F.lit(1))
     names = F.regexp_extract_all(text, pattern, F.lit(2))
-    scale = F.create_map(*[x for k, v in {**units, "": 1}.items() for x in (F.lit(k), F.lit(float(v)))])
+    scale = F.expr("map(" + ", ".join(f"'{k}', {v}D" for k, v in {**units, "": 1}.items()) + ")")
     parts = F.zip_with(numbers, names, lambda n, u: F.floor(plain_number(n) * F.element_at(scale, u)).cast("decimal(38,0)"))
     total = F.aggregate(parts, F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x).cast("decimal(38,0)"))
     capped = F.least(total, F.lit(MAX_LONG).cast("decimal(38,0)")).cast("bigint")

@@ -18,7 +18,7 @@ from skeinlog.model import EXTRA, STREAM, STREAM_ID, TIME, col, expand, is_text,
 # ---- fixed values: word characters, placeholders, weekdays -----------------
 WORD = r"[\p{L}\p{Nd}_]"
 PLACEHOLDERS = {
-    "<N>": r"(?:[0-9a-fA-F]+)",
+    "<N>": r"(?:0[xX][0-9a-fA-F]+|[0-9a-fA-F]{4,}|[0-9]+)",
     "<UUID>": r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     "<IP4>": r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}",
     "<TIME>": r"\d{2}:\d{2}:\d{2}(?:[.,]\d+)?",

@@ -109,8 +109,8 @@ def attach(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "l
     are split by adaptive execution.
     """
     if not keys:
-        one = "__one"
-        return left.withColumn(one, F.lit(1)).join(right.withColumn(one, F.lit(1)), one, how).drop(one)
+        # Without keys the right side is one row: its values become scalar subqueries, not a join.
+        return left.withColumns({c: right.select(F.col(quoted(c))).scalar() for c in right.columns})
     renamed = right.select(
         *[F.col(quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)],
         *[F.col(quoted(c)) for c in right.columns if c not in keys],

@@ -135,8 +135,8 @@ def _word_join(df: DataFrame, f: str, phrases: DataFrame, every: bool) -> DataFr
     listed = phrases.withColumn("__kind", F.when(F.col("__v") == "", "e").when(F.size(words(F.col("__v"))) > 0, "w").otherwise("c"))
     rows = durable(df.withColumns({"__row": F.monotonically_increasing_id(), "__text": val(f)}))
     texts = rows.select("__row", "__text")
-    empty = listed.where(F.col("__kind") == "e").select("__v", F.lit("").alias("__text"))
-    found = texts.join(empty, "__text").select("__row", "__v")
+    empty = listed.where(F.col("__kind") == "e").select("__v")
+    found = texts.where(F.col("__text") == "").join(empty, F.col("__text") == F.col("__v")).select("__row", "__v")
     for kind, (split, sep, lengths) in tokens.items():
         some = listed.where(F.col("__kind") == kind).withColumn("__t", split(F.col("__v")))
         some = some.withColumn("__n", _run_length(F.size("__t"), lengths))

@@ -194,6 +194,7 @@ def facets(
     # Typed values are counted as they are; only maps and the like have to become text for it.
     plain = {n: col(n) if isinstance(df.schema[n].dataType, T.AtomicType) else texts[n] for n in names}
     seen = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.approx_count_distinct(plain[n], 0.02).alias(f"d{i}") for i, n in enumerate(names)],
         *[F.coalesce(F.max(F.octet_length(texts[n])), F.lit(0)).alias(f"l{i}") if _long(df, n, max_len) else F.lit(0).alias(f"l{i}")
           for i, n in enumerate(names)],
@@ -215,9 +216,7 @@ def facets(
     keep = (F.col("__n") <= max_values) & (F.col("__rn") <= limit)
     if not keep_const:
         # A constant field has one value, held by every row.
-        total = df.agg(F.count(F.lit(1)).alias("__rows"))
-        ranked = attach(ranked, total, [])
-        keep = keep & ~((F.col("__n") == 1) & (F.col("hits") == F.col("__rows")))
+        keep = keep & ~((F.col("__n") == 1) & (F.col("hits") == seen["rows"]))
     return ranked.where(keep).select("field_name", "field_value", "hits")
 
 

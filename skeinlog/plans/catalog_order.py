@@ -130,7 +130,7 @@ def _uniq(spark, sf):
     return order.uniq(logs(spark, sf), ["user_id", "event_type"], with_hits=True)
 
 
-@register("H7_uniq_limit", "SELECT user_id, 0 AS hits FROM events GROUP BY 1 ORDER BY 1 LIMIT 20")
+@register("H7_uniq_limit", "SELECT user_id, CASE WHEN (SELECT count(DISTINCT user_id) FROM events) > 20 THEN 0 ELSE count(*) END AS hits FROM events GROUP BY 1 ORDER BY 1 LIMIT 20")
 def _uniq_limit(spark, sf):
     return order.uniq(logs(spark, sf), ["user_id"], with_hits=True, limit=20)
 
@@ -150,11 +150,13 @@ def _field_names(spark, sf):
     return order.field_names(table(spark, sf, "lineitem"), filter="_line")
 
 
-@register("H9_facets", """WITH p AS (SELECT 'event_type' AS field_name, event_type AS field_value FROM events UNION ALL SELECT 'user_id', user_id::VARCHAR FROM events UNION ALL SELECT 'props', props FROM events),
- c AS (SELECT field_name, field_value, count(*) AS hits FROM p GROUP BY 1, 2)
- SELECT field_name, field_value, hits FROM c QUALIFY row_number() OVER (PARTITION BY field_name ORDER BY hits DESC, field_value) <= 10""")
+@register("H9_facets", """WITH p AS (SELECT 'event_type' AS field_name, event_type AS field_value FROM events UNION ALL SELECT 'user_id', user_id::VARCHAR FROM events
+  UNION ALL SELECT 'props', props FROM events UNION ALL SELECT 'event_id', event_id::VARCHAR FROM events UNION ALL SELECT 'fixed', 'same' FROM events),
+ c AS (SELECT field_name, field_value, count(*) AS hits FROM p GROUP BY 1, 2),
+ n AS (SELECT *, count(*) OVER (PARTITION BY field_name) AS n, row_number() OVER (PARTITION BY field_name ORDER BY hits DESC, field_value) AS rn FROM c)
+ SELECT field_name, field_value, hits FROM n WHERE n BETWEEN 2 AND 1000 AND rn <= 10""")
 def _facets(spark, sf):
-    rows = logs(spark, sf).withColumn("fixed", F.lit("same")).drop("_stream_id", "_stream")
+    rows = logs(spark, sf).select("event_type", "user_id", "props", "event_id", F.lit("same").alias("fixed"))
     return order.facets(rows)
 
 

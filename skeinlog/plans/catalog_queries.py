@@ -55,12 +55,15 @@ def _hits_plain(spark, sf):
     return q.hits(logs(spark, sf), "1d")
 
 
-@register("C5_facets_query", """WITH p AS (SELECT 'l_returnflag' AS field_name, l_returnflag AS field_value FROM lineitem UNION ALL SELECT 'l_linestatus', l_linestatus FROM lineitem UNION ALL SELECT 'l_linenumber', l_linenumber::VARCHAR FROM lineitem
-  UNION ALL SELECT 'l_quantity', l_quantity::VARCHAR FROM lineitem UNION ALL SELECT 'l_discount', l_discount::VARCHAR FROM lineitem UNION ALL SELECT 'l_tax', l_tax::VARCHAR FROM lineitem),
- c AS (SELECT field_name, field_value, count(*) AS hits FROM p GROUP BY 1, 2)
- SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY field_name ORDER BY hits DESC, field_value) <= 4""")
+LINE_FIELDS = ("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_suppkey", "l_orderkey")
+LINE_PAIRS = " UNION ALL ".join(f"SELECT '{n}' AS field_name, {n}::VARCHAR AS field_value FROM lineitem" for n in LINE_FIELDS)
+
+
+@register("C5_facets_query", f"""WITH p AS ({LINE_PAIRS}), c AS (SELECT field_name, field_value, count(*) AS hits FROM p GROUP BY 1, 2),
+ n AS (SELECT *, count(*) OVER (PARTITION BY field_name) AS n, row_number() OVER (PARTITION BY field_name ORDER BY hits DESC, field_value) AS rn FROM c)
+ SELECT field_name, field_value, hits FROM n WHERE n BETWEEN 2 AND 60 AND rn <= 4""")
 def _facets(spark, sf):
-    return q.facets_query(table(spark, sf, "lineitem"), limit=4, max_values=60)
+    return q.facets_query(table(spark, sf, "lineitem").select(*LINE_FIELDS), limit=4, max_values=60)
 
 
 @register("C6_field_names", "SELECT 'kind' AS name, count(*) FILTER (event_id % 3 <> 0) AS hits FROM events UNION ALL SELECT 'event_id', count(*) FROM events UNION ALL SELECT 'even', count(*) FILTER (event_id % 2 = 0) FROM events UNION ALL SELECT 'type_click', count(*) FILTER (event_type = 'click') FROM events")
