@@ -90,11 +90,15 @@ def min_(*xs) -> Column:
     return reduce(lambda a, b: F.least(a, b), [_d(x) for x in xs])
 
 
+# From 2^53 on every double is a whole number.
+_WHOLE = float(1 << 53)
+
+
 def round_(x, nearest: float | None = None) -> Column:
     """Half away from zero, to whole numbers or to a multiple of ``nearest``."""
     v = _d(x)
     if nearest is None:
-        return F.signum(v) * F.floor(F.abs(v) + 0.5)
+        return F.when(F.abs(v) < _WHOLE, F.round(v)).otherwise(v)
     text = f"{nearest:.15f}".rstrip("0")
     digits = len(text.partition(".")[2])
     steps = F.signum(v) * F.floor(F.abs(v) / F.lit(float(nearest)) + 0.5)
@@ -102,11 +106,13 @@ def round_(x, nearest: float | None = None) -> Column:
 
 
 def ceil(x) -> Column:
-    return F.ceil(_d(x)).cast("double")
+    v = _d(x)
+    return F.when(F.abs(v) < _WHOLE, F.ceil(v).cast("double")).otherwise(v)
 
 
 def floor(x) -> Column:
-    return F.floor(_d(x)).cast("double")
+    v = _d(x)
+    return F.when(F.abs(v) < _WHOLE, F.floor(v).cast("double")).otherwise(v)
 
 
 def neg(x) -> Column:

@@ -263,12 +263,21 @@ def _any_of(tests: Sequence[Column]) -> Column:
 JSON_DEPTH = 5
 
 
-def flat_json(text: Column, preserve: Sequence[str] = (), depth: int = JSON_DEPTH) -> Column:
-    """JSON object to flat entries ``a.b`` -> text; preserved keys keep their JSON."""
-    flat = F.map_entries(F.from_json(text, "map<string,string>"))
+def flat_json(df: DataFrame, text: Column, name: str, preserve: Sequence[str] = (), depth: int = JSON_DEPTH) -> DataFrame:
+    """Add the flat entries ``a.b`` -> text of a JSON object; preserved keys keep their JSON.
+
+    One level is opened per step, and rows without a nested object skip the step.
+    """
+    df = df.withColumn(name, F.map_entries(F.from_json(text, "map<string,string>")))
     for _ in range(depth - 1):
-        flat = F.flatten(F.transform(flat, lambda e: _opened(e, preserve)))
-    return flat
+        opened = F.flatten(F.transform(name, lambda e: _opened(e, preserve)))
+        df = df.withColumn(name, F.when(F.exists(name, lambda e: _nested(e, preserve)), opened).otherwise(F.col(name)))
+    return df
+
+
+def _nested(e: Column, preserve: Sequence[str]) -> Column:
+    nested = F.coalesce(e["value"].startswith("{"), F.lit(False))
+    return nested & ~e["key"].isin(list(preserve)) if preserve else nested
 
 
 def _opened(e: Column, preserve: Sequence[str]) -> Column:
@@ -278,10 +287,7 @@ def _opened(e: Column, preserve: Sequence[str]) -> Column:
         F.map_entries(F.from_json(e["value"], "map<string,string>")),
         lambda x: F.struct(F.concat(e["key"], F.lit("."), x["key"]).alias("key"), x["value"].alias("value")),
     )
-    nested = e["value"].startswith("{")
-    if preserve:
-        nested = nested & ~e["key"].isin(list(preserve))
-    return F.when(nested, F.coalesce(inner, itself)).otherwise(itself)
+    return F.when(_nested(e, preserve), F.coalesce(inner, itself)).otherwise(itself)
 
 
 def unpack_json(
@@ -306,7 +312,8 @@ def unpack_json(
             read = F.try_variant_get(parsed, path, "string")
             new[result_prefix + f] = F.coalesce(read, F.try_variant_get(parsed, whole, "string") if "." in f else F.lit(None), F.lit(""))
         return assign(df, new, **options)
-    return _unpacked(df, flat_json(text, preserve_keys), fields, result_prefix, **options)
+    entries = flat_json(df, text, "__json", preserve_keys)
+    return _unpacked(entries, F.col("__json"), fields, result_prefix, **options).drop("__json")
 
 
 LOGFMT = r'([^\s="]+)=("(?:[^"\\]|\\.)*"|[^\s"]*)'

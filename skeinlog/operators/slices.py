@@ -26,6 +26,8 @@ SLICE_ROWS = "spark.skeinlog.sliceRows"
 _DEFAULT_ROWS = 5_000_000
 _MAX_SLICES = 20_000
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 _SLICE, _ROW = "__slice", "__row"
 
 
@@ -36,8 +38,10 @@ def shared_folder(spark) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    current = spark.sparkContext.getCheckpointDir()
-    return current.rsplit("/", 1)[0] if current else tempfile.mkdtemp(prefix="skeinlog-")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="skeinlog-")
+    return _LOCAL_FOLDERS[app]
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -93,16 +93,12 @@ def stats(df: DataFrame, by: Sequence[str | Bucket] = (), **aggs: Stat) -> DataF
 
     direct = {n: s for n, s in aggs.items() if s.direct is not None}
     planned = {n: s for n, s in aggs.items() if s.direct is None}
-    if direct or any(s.cond is not None for s in planned.values()) or not keys:
-        columns = [s.column(df).alias(n) for n, s in direct.items()] or [F.count(F.lit(1)).alias("__rows")]
-        done = rows.groupBy(*keys).agg(*columns)
-    elif len(planned) == 1:
-        done = None
-    else:
-        done = rows.select(*keys).distinct()
+    # The groups come from one hash aggregate even if every function has a plan of its own:
+    # a group without a usable value still is a row of the answer.
+    columns = [s.column(df).alias(n) for n, s in direct.items()] or [F.count(F.lit(1)).alias("__rows")]
+    done = rows.groupBy(*keys).agg(*columns)
     for name, stat in planned.items():
-        one = stat.frame(rows, keys, name)
-        done = one if done is None and stat.empty is None else attach(done if done is not None else rows.select(*keys).distinct(), one, keys)
+        done = attach(done, stat.frame(rows, keys, name), keys)
         if stat.empty is not None:
             done = done.withColumn(name, F.coalesce(F.col(quoted(name)), F.lit(stat.empty)))
     return done.select(

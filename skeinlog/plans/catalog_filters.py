@@ -31,7 +31,7 @@ DOCUMENTS = {
     "D4_all_rows": (lambda: f.all_rows(), "true"),
     "D5_phrase": (lambda: f.phrase("text", "of the"), f"regexp_matches(text, '{word('of the')}')"),
     "D6_prefix": (lambda: f.prefix("text", "tha"), f"regexp_matches(text, '{starts('tha')}')"),
-    "D7_substring": (lambda: f.substring("text", "entthe"), "contains(text, 'entthe')"),
+    "D7_substring": (lambda: f.substring("text", "tion"), "contains(text, 'tion')"),
     "D8_exact": (lambda: f.exact("source", "src7"), "source = 'src7'"),
     "D8_not_exact": (lambda: f.not_(f.exact("source", "src7")), "source <> 'src7'"),
     "D9_exact_prefix": (lambda: f.exact_prefix("text", "Th"), "starts_with(text, 'Th')"),

@@ -136,9 +136,9 @@ def stream_running_stats(
     """Running count, sum, min and max per group on a live stream.
 
     Rows are ordered inside a micro-batch and batches follow each other. The
-    totals so far are a table with a version per batch: batch n reads version
-    n-1 and writes version n, so a repeated batch gives the same answer. A hot
-    group is spread over tasks like in the batch operator.
+    totals so far are a table in two folders used in turn: batch n reads what
+    batch n-1 wrote and overwrites the other one, so a repeated batch gives the
+    same answer. A hot group is spread over tasks like in the batch operator.
     """
     bad = [n for n, f in funcs.items() if f.func in ("first", "last")]
     if bad:
@@ -152,7 +152,7 @@ def stream_running_stats(
         here = running(rows, groups, sort_keys(batch, order, tie=tie), scalars, is_hot(rows, groups))
         sums = rows.groupBy(*groups).agg(*[s.over_rows().alias(n) for n, s in scalars.items()])
         if number > 0:
-            before = spark.read.parquet(f"{state}/{number - 1}")
+            before = spark.read.parquet(f"{state}/{(number - 1) % 2}")
             old = before.withColumnsRenamed({n: f"__s_{n}" for n in funcs})
             here = attach(here, old, groups)
             here = here.withColumns({n: s.combine(F.col(quoted(f"__s_{n}")), col(n)) for n, s in scalars.items()})
@@ -161,7 +161,7 @@ def stream_running_stats(
             sums = both.groupBy(*groups).agg(*merged.values())
         drop = [*groups, *[f"__s_{n}" for n in funcs]]
         here.drop(*drop).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
-        sums.write.mode("overwrite").parquet(f"{state}/{number}")
+        sums.write.mode("overwrite").parquet(f"{state}/{number % 2}")
 
     return _start(sdf, write, checkpoint, "append", trigger or {"processingTime": "1 second"})
 

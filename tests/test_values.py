@@ -221,6 +221,13 @@ def test_stats_rules(spark):
     assert tuple(row) == (3, None, "[]", 0, None)
 
 
+def test_groups_without_numbers_stay(spark):
+    df = spark.createDataFrame([("a", "1"), ("b", "x"), ("b", None)], "g string, v string")
+    assert sorted(tuple(r) for r in stats(df, ["g"], q=a.quantile(0.5, "v")).collect()) == [("a", 1.0), ("b", None)]
+    none = stats(df, ["g"], v=a.values("v").if_(f.exact("g", "a")))
+    assert sorted(tuple(r) for r in none.collect()) == [("a", '["1"]'), ("b", "[]")]
+
+
 @pytest.mark.parametrize("asked,top,want", [(None, 1000, 1000), ("x", 1000, 1000), (0, 1000, 1000), (5, 1000, 5), (5000, 1000, 1000), ("7", 1000, 7), (5, 0, 0)])
 def test_effective_limit(asked, top, want):
     assert effective_limit(asked, top) == want
