@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from skeinlog.plans.tables import QUERIES, SQL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
