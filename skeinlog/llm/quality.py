@@ -28,34 +28,32 @@ def _words(text: Column) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words in windows of three that occur twice or more. Windows are sorted by hash, so equal ones are neighbours."""
+    """Words in windows of three that occur twice or more; windows are compared by a 64-bit hash.
+
+    Only a text that has such windows sorts them, as (hash, place), so that equal ones are neighbours.
+    """
+    def hashes(w: Column) -> Column:
+        return F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
+
     def covered(s: Column) -> Column:
-        """s: windows as (hash, place), sorted."""
-        n = F.size(s)
         twice = F.filter(s, lambda x, k: (
-            ((k > 0) & (F.get(s, k - 1).h == x.h)) | ((k < n - 1) & (F.get(s, k + 1).h == x.h))
+            (x.h == F.get(s, k + 1).h) | ((k > 0) & (x.h == F.get(s, k - 1).h))
         ))
         return bind(F.sort_array(F.transform(twice, lambda x: x.i)), lambda p: F.aggregate(
             F.transform(p, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - i, F.lit(3)))),
             F.lit(0).cast("long"), lambda a, x: a + x,
         ))
 
-    def windows(w: Column) -> Column:
-        last = F.size(w) - 2
-        return F.when(last < 2, F.lit(0).cast("long")).otherwise(bind(
-            F.sort_array(F.transform(F.slice(w, 1, last), lambda x, i: F.struct(
-                F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")
-            ))), covered,
+    def count(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(bind(
+            F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), covered,
         ))
 
-    return bind(words, windows)
+    return bind(words, lambda w: F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(bind(hashes(w), count)))
 
 
 def quality_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds one struct column, stats, of long numbers. Null text counts as empty; no text is shortened.
-
-    Windows of words are compared by a 64-bit hash of the three words.
-    """
+    """Adds one struct column, stats, of long numbers. Null text counts as empty; no text is shortened."""
     t = F.coalesce(F.col(text), F.lit(""))
     filled = F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACES, "") != "")
     facts = {
@@ -93,10 +91,9 @@ def default_rules(s: str = "stats") -> list[Rule]:
     """Measures of junk, each 0 for clean text; s is the column of quality_stats."""
     mean = _share(f"{s}.word_chars", f"{s}.n_words")
     return [
-        Rule("too_short", F.lit(50) - F.col(f"{s}.n_words"), -50, 1),
         Rule("odd_words", F.abs(mean - 6), 3, 7),
         Rule("symbols", _share(f"{s}.n_symbols", f"{s}.n_words"), 0.02, 0.1),
-        Rule("dup_lines", _share(f"{s}.n_dup_lines", f"{s}.n_words"), 0.001, 0.02),
+        Rule("dup_lines", _share(f"{s}.n_dup_lines", f"{s}.n_words"), 0.005, 0.05),
         Rule("repeats", _share(f"{s}.n_repeat_words", f"{s}.n_words"), 0.2, 0.4),
         Rule("capitals", _share(f"{s}.n_upper", f"{s}.n_letters"), 0.15, 0.4),
         Rule("shouts", _share(f"{s}.n_shouts", f"{s}.n_words"), 0.05, 0.2),
@@ -143,9 +140,9 @@ def fit_votes(patterns: DataFrame, votes: list[str], rounds: int = ROUNDS) -> di
 
         model = {"good": rate(got["good"], got["all"] - got["good"], start["good"], 0.02, 0.98)}
         for k, v in enumerate(votes):
-            # bounds that keep a vote evidence for what it says, whatever the corpus holds
-            model["right", v] = rate(got[f"plus_good_{k}"], got[f"minus_good_{k}"], start["right", v], 0.99, 0.9999)
-            model["wrong", v] = rate(got[f"minus_bad_{k}"], got[f"plus_bad_{k}"], start["wrong", v], 0.1, 0.99)
+            # bounds that keep a vote evidence for what it says, and keep one common kind of junk from being the only one
+            model["right", v] = rate(got[f"plus_good_{k}"], got[f"minus_good_{k}"], start["right", v], 0.995, 0.9999)
+            model["wrong", v] = rate(got[f"minus_bad_{k}"], got[f"plus_bad_{k}"], start["wrong", v], 0.1, 0.6)
     return model
 
 
@@ -158,8 +155,10 @@ def judge(stats: DataFrame, rules: list[Rule] | None = None, least: float = 0.5)
     rules = default_rules() if rules is None else rules
     votes = [f"__vote_{r.name}" for r in rules]
     voted = stats.withColumns({v: r.vote for v, r in zip(votes, rules, strict=True)})
-    model = fit_votes(cut(voted.groupBy(*votes).agg(F.count(F.lit(1)).alias("n"))), votes)
     failed = (F.col("stats.n_words") < 50) | (100 * F.col("stats.n_repeat_words") > 50 * F.col("stats.n_words"))
+    # what fails anyway would teach the rules only how to find it
+    patterns = cut(voted.where(~failed).groupBy(*votes).agg(F.count(F.lit(1)).alias("n")))
+    model = fit_votes(patterns, votes)
     return (
         voted.withColumns({"p_good": _posterior(votes, model), "base_failed": failed})
         .withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= least))

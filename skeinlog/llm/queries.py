@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import quality, sharding, urls
+from skeinlog.llm import decontaminate, quality, sharding, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -20,6 +20,32 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_OP8 = """WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '{W}') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '{W}') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, w[s:s + least(10, len(w)) - 1] AS g
+ FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0)),
+dw AS (SELECT doc_id, n, s, w[s:s + n - 1] AS g
+ FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw))),
+hit AS (SELECT DISTINCT doc_id, s, n, item_id FROM dw JOIN iw USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+ sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""".format(U=urls.UPPER, L=urls.LOWER, W=_ALNUM)
+
+
+@register("op8_decontamination", _OP8)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text")
+    out = decontaminate.contamination(docs, items)
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),

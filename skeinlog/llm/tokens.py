@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
@@ -56,7 +57,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = _SLICE_BYTES
     n = batch.num_rows
     if not n:
         return
-    size = np.asarray(pa.compute.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
+    size = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
     run = (np.cumsum(size) - size) // most
     cuts = np.flatnonzero(np.diff(run)) + 1
     for a, b in zip([0, *cuts], [*cuts, n], strict=True):
