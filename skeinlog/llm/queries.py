@@ -5,12 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, quality, sharding, urls
+from skeinlog.llm import decontaminate, near_dedup, packing, quality, sharding, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
 
 
+def tokenizer_paths() -> tuple[str, str]:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("op1_packing")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents", "doc_id", "text"), *tokenizer_paths())
+
+
 @register("op5_quality_rules")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
@@ -20,6 +31,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("op7_minhash_dedup")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents", "doc_id", "text"), 85).drop("version")
+
+
 _ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 _OP8 = """WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '{W}') AS w FROM documents),
