@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, near_dedup, packing, quality, sharding, urls
+from skeinlog.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -22,6 +22,23 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents", "doc_id", "text"), *tokenizer_paths())
 
 
+_OP4 = """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+firsts AS (SELECT g, min({'d': doc_id, 's': s}) AS f FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(s, s + 20)) AS p
+ FROM win JOIN firsts USING (g) WHERE {'d': doc_id, 's': s} > f)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@register("op4_substring_dedup", _OP4)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(table(spark, sf, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op5_quality_rules")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
