@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, near_dedup, packing, quality, sharding, substring_dedup, urls
+from skeinlog.llm import decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -22,6 +22,12 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents", "doc_id", "text"), *tokenizer_paths())
 
 
+@register("op3_line_dedup")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _OP4 = """WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
 firsts AS (SELECT g, min({'d': doc_id, 's': s}) AS f FROM win GROUP BY g HAVING count(*) > 1),
