@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, urls
+from skeinlog.llm import decontaminate, line_dedup, lm, near_dedup, packing, quality, sharding, substring_dedup, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -54,6 +54,11 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register("op6_lm_scoring")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf, "documents", "doc_id", "text"))
+
+
 @register("op7_minhash_dedup")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents", "doc_id", "text"), 85).drop("version")
