@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, line_dedup, lm, near_dedup, packing, quality, sharding, substring_dedup, urls
+from skeinlog.llm import decontaminate, line_dedup, lm, near_dedup, packing, pii, quality, sharding, substring_dedup, urls
 from skeinlog.llm.common import QUERIES, SQL, cut, register, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -22,6 +22,18 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents", "doc_id", "text"), *tokenizer_paths())
 
 
+@register("op2_pii")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf, "documents", "doc_id", "text"))
+
+    def text(spans: str) -> F.Column:
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))))
+
+    kinds = F.transform("base", lambda s: s.kind)
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
+
+
 @register("op3_line_dedup")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf, "documents", "doc_id", "text"))
