@@ -15,12 +15,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeinlog.functions.coerce import num
-from skeinlog.model import attach, col, expand, is_numeric, is_text, ordering, out, quoted, sort_key, val
+from skeinlog.model import attach, col, dtype, expand, field_name, is_numeric, is_text, ordering, out, quoted, sort_key, val
 from skeinlog.operators.slices import Key, Running, positioned, running
 
-# Strategy by which partial results of clusters are merged.
+# The strategy by which partial results of clusters are merged.
 STRATEGIES = {
     "count": "sum",
     "count_uniq": "sum",
@@ -52,11 +53,16 @@ class Stat:
     table: Callable[[DataFrame, Sequence[str], str], DataFrame] | None = None
     cond: Column | None = None
     empty: object = None
+    per_step: Callable[[float], Stat] | None = None
 
     def if_(self, cond: Column) -> Stat:
         both = cond if self.cond is None else self.cond & cond
         return replace(self, cond=both)
 
+    def at_step(self, seconds: float) -> Stat:
+        """The function for steps of so many seconds, where it depends on them and none was given."""
+        return self if self.per_step is None else replace(self.per_step(seconds), cond=self.cond)
+
     @property
     def strategy(self) -> str:
         return STRATEGIES.get(self.func, "any")
@@ -182,33 +188,45 @@ def stddev(*fields) -> Stat:
         numbers = _numbers(df, fields)
         if len(numbers) == 1:
             return F.stddev_pop(w(numbers[0]))
-        n = F.sum(w(reduce(lambda a, b: a + b, [x.isNotNull().cast("bigint") for x in numbers])))
-        mean = F.try_divide(F.sum(w(_add(numbers))), n)
-        square = F.try_divide(F.sum(w(_add([x * x for x in numbers]))), n)
-        return F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+        # one count, mean and variance for each field, put together without squares of the values themselves
+        parts = [(F.count(w(x)), F.coalesce(F.avg(w(x)), F.lit(0.0)), F.coalesce(F.var_pop(w(x)), F.lit(0.0))) for x in numbers]
+        n = reduce(lambda a, b: a + b, [k for k, _, _ in parts])
+        mean = F.try_divide(reduce(lambda a, b: a + b, [k * m for k, m, _ in parts]), n)
+        spread = reduce(lambda a, b: a + b, [k * (v + (m - mean) * (m - mean)) for k, m, v in parts])
+        return F.sqrt(F.try_divide(spread, n))
 
     return Stat("stddev", build)
 
 
 def rate(step_seconds: float | None = None) -> Stat:
     """Rows per second of the time range; the plain count without a range."""
-    return Stat("rate", lambda df, w: F.count(w(F.lit(1))) / F.lit(float(step_seconds or 1)))
+    return Stat(
+        "rate", lambda df, w: F.count(w(F.lit(1))) / F.lit(float(step_seconds or 1)), per_step=None if step_seconds else rate
+    )
 
 
 def rate_sum(*fields, step_seconds: float | None = None) -> Stat:
-    return Stat("rate_sum", lambda df, w: F.sum(w(_add(_numbers(df, fields)))) / F.lit(float(step_seconds or 1)))
+    return Stat(
+        "rate_sum", lambda df, w: F.sum(w(_add(_numbers(df, fields)))) / F.lit(float(step_seconds or 1)),
+        per_step=None if step_seconds else lambda s: rate_sum(*fields, step_seconds=s),
+    )
 
 
 # ---- extremes --------------------------------------------------------------
 
 
+def _is_float(df: DataFrame, f) -> bool:
+    """Whether a column can hold not-a-number."""
+    return isinstance(f, str) and field_name(f) in df.columns and isinstance(dtype(df, f), (T.FloatType, T.DoubleType))
+
+
 def _extreme(func: str, fields: Sequence) -> Stat:
     best, pick = (F.min, F.least) if func == "min" else (F.max, F.greatest)
 
     def build(df, w):
         names = _names(df, fields)
         if all(is_numeric(df, f) for f in names):
-            values = [num(f, df) if len(names) > 1 else col(f) for f in names]
+            values = [num(f, df) if len(names) > 1 or _is_float(df, f) else col(f) for f in names]
             return best(w(values[0] if len(values) == 1 else pick(*values)))
         if all(isinstance(f, str) and not is_text(df, f) for f in names) and len(names) == 1:
             return best(w(col(names[0])))
@@ -247,7 +265,8 @@ def _by_extreme(func: str, src, value: Callable[[DataFrame], Column]) -> Stat:
     def build(df, w):
         v = value(df)
         rank = F.struct(ordering(df, src).alias("a"), v.alias("b"))
-        return pick(v, w(F.when(_has(df, src), rank)))
+        has = _has(df, src) & ~F.isnan(col(src)) if _is_float(df, src) else _has(df, src)
+        return pick(v, w(F.when(has, rank)))
 
     return Stat(func, build)
 

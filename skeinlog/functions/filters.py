@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from decimal import Decimal
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 from functools import reduce
@@ -351,13 +352,16 @@ def ipv6_range(f, first: str, last: str | None = None) -> Column:
 # ---- kind of value ---------------------------------------------------------
 
 
+UINT64_MAX, INT64_MIN = Decimal(2**64 - 1), Decimal(-(2**63))
+
+
 def value_kind(f) -> Column:
     """Shape of a value: uint64, int64, float64, ipv4, iso8601, string, or empty."""
     text = val(f)
     return (
         F.when(text == "", "empty")
-        .when(text.rlike(r"^(0|[1-9][0-9]{0,18})$"), "uint64")
-        .when(text.rlike(r"^-[1-9][0-9]{0,18}$"), "int64")
+        .when(text.rlike(r"^(0|[1-9][0-9]{0,19})$") & (text.try_cast("decimal(20,0)") <= F.lit(UINT64_MAX)), "uint64")
+        .when(text.rlike(r"^-[1-9][0-9]{0,18}$") & (text.try_cast("decimal(20,0)") >= F.lit(INT64_MIN)), "int64")
         .when(text.rlike(r"^-?(0|[1-9][0-9]*)\.[0-9]+$"), "float64")
         .when(ipv4_num(text).isNotNull(), "ipv4")
         .when(text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?Z$"), "iso8601")

@@ -139,7 +139,7 @@ def merge_hits(series: DataFrame) -> DataFrame:
     """Sum hits per field set and time, and totals per field set.
 
     Input rows are series: ``fields`` map, ``timestamps`` and ``values`` arrays, ``total``.
-    A missing value counts 0.
+    A missing value counts 0. A field set without points is a row without time and value.
     """
     rows = series.withColumn("fields", canonical(F.coalesce(F.col("fields"), F.map_from_entries(F.array().cast("array<struct<k:string,v:string>>")))))
     totals = rows.groupBy("fields").agg(F.sum(F.col("total").cast("bigint")).alias("total"))
@@ -147,7 +147,7 @@ def merge_hits(series: DataFrame) -> DataFrame:
     sums = points.where(F.col("p.timestamps").isNotNull()).groupBy("fields", F.col("p.timestamps").alias("ts")).agg(
         F.coalesce(F.sum(F.col("p.values").cast("bigint")), F.lit(0)).alias("value")
     )
-    return attach(sums, totals, ["fields"])
+    return attach(totals, sums, ["fields"]).select("fields", "ts", "value", F.coalesce("total", F.lit(0)).alias("total"))
 
 
 def merge_value_hits(parts: DataFrame) -> DataFrame:

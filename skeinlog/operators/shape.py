@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeinlog.functions import textpat, timespan
 from skeinlog.functions.filters import WORD, literal_re, user_re, value_kind
@@ -152,19 +153,48 @@ def replace_regexp(df: DataFrame, pattern: str, repl: str, at: str = MSG, limit:
     elif "$" not in repl:
         done = F.array_join(F.split(text, regex, limit + 1), repl)
     else:
-        # One match per step: the head up to the match is settled, the tail is searched on.
-        head, tail = F.lit(""), text
-        for _ in range(limit):
-            start = F.regexp_instr(tail, F.lit(regex))
-            width = F.length(F.regexp_substr(tail, F.lit(regex)))
-            match = F.coalesce(F.regexp_substr(tail, F.lit(regex)), F.lit(""))
-            found = start > 0
-            head = F.concat(head, F.when(found, F.concat(F.substring(tail, F.lit(1), start - 1), F.regexp_replace(match, regex, repl))).otherwise(""))
-            tail = F.when(found, F.substring(tail, start + width, F.length(tail))).otherwise(tail)
-        done = F.concat(head, tail)
+        done = _replace_first(text, regex, repl, limit)
     return assign(df, {at: done}, iff=iff)
 
 
+def _group_count(regex: str) -> int:
+    found = re.findall(r"\\.|\[(?:\\.|[^\]\\])*\]|(\((?!\?)|\(\?<\w+>)", regex)
+    return sum(1 for x in found if x)
+
+
+def _replace_first(text: Column, regex: str, repl: str, limit: int) -> Column:
+    """The first matches replaced, each by its own groups, in one expression whatever the limit.
+
+    All matches and the gaps between them come from the whole text, so anchors and boundaries see what is around them.
+    """
+    names, groups = {n: i for i, n in _named_groups(regex)}, _group_count(regex)
+    arrays: dict[int, Column] = {}
+
+    def group(i: int) -> Callable[[Column], Column]:
+        arrays.setdefault(i, F.regexp_extract_all(text, F.lit(regex), F.lit(i)))
+        return lambda k: F.coalesce(F.get(arrays[i], k), F.lit(""))
+
+    makers: list[Callable[[Column], Column]] = []
+    for m in re.finditer(r"\$\{(\w+)\}|\$(\d+)|\\(.)|([^$\\]+)|(.)", repl, re.S):
+        if m[1] is not None:
+            makers.append(group(int(m[1]) if m[1].isdigit() else names[m[1]]))
+        elif m[2] is not None:
+            digits = m[2]
+            while len(digits) > 1 and int(digits) > groups:
+                digits = digits[:-1]
+            makers.append(group(int(digits)))
+            if len(digits) < len(m[2]):
+                makers.append(lambda k, rest=m[2][len(digits):]: F.lit(rest))
+        else:
+            makers.append(lambda k, same=m[3] or m[4] or m[5]: F.lit(same))
+    # splitting leaves out an empty gap before a match of no width at the very start
+    empty_first = (F.regexp_instr(text, F.lit(regex)) == 1) & (F.regexp_extract(text, regex, 0) == "")
+    cut = F.split(text, regex, limit) if limit > 1 else F.array(text)
+    gaps = F.when(empty_first, F.concat(F.array(F.lit("")), cut)).otherwise(F.split(text, regex, limit + 1))
+    joined = F.transform(gaps, lambda g, k: F.when(k == 0, g).otherwise(F.concat(*[f(k - 1) for f in makers], g)))
+    return F.array_join(joined, "")
+
+
 def collapse_nums(df: DataFrame, at: str = MSG, prettify: bool = False, iff: Column | None = None) -> DataFrame:
     return assign(df, {at: textpat.collapse(val(at), prettify)}, iff=iff)
 
@@ -223,33 +253,45 @@ def discover(keys: Column, df: DataFrame, bound: int = MAX_DISCOVERED_KEYS) -> t
     return sorted(r["k"] for r in rows[:bound]), len(rows) > bound
 
 
-def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str, **options) -> DataFrame:
+def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str, bound: int = MAX_DISCOVERED_KEYS, **options) -> DataFrame:
     """Fields out of an array of (key, value); names beyond the discovery bound stay in the extra map.
 
-    A key given twice keeps its first value.
+    A key given twice keeps its first value. A field that only a wildcard names changes in those rows that hold it; a
+    field named in full becomes empty in the others. Each row's entries are read once, however many fields there are.
     """
     source = df.withColumn("__entries", entries)
+    source = source.withColumn("__keys", F.transform("__entries", lambda e: e["key"]))
+    once = F.filter("__entries", lambda e, i: F.array_position("__keys", e["key"]) == i + 1)
+    source = source.withColumn("__map", F.map_from_entries(F.transform(
+        once, lambda e: F.struct(e["key"].alias("key"), F.coalesce(e["value"], F.lit("")).alias("value"))
+    )))
     exact = [w for w in wanted if not w.endswith("*")]
     open_ended = [w[:-1] for w in wanted if w.endswith("*")]
-    rest = False
+    named, rest = list(exact), False
     if open_ended:
-        keys = F.array_distinct(F.transform("__entries", lambda e: e["key"]))
+        keys = F.map_keys("__map")
         some = keys if "" in open_ended else F.filter(keys, lambda k: _any_of([k.startswith(p) for p in open_ended]))
-        found, rest = discover(some, source)
+        found, rest = discover(some, source, bound)
         exact += [k for k in found if k not in exact]
-    value_of = lambda k: F.get(F.filter("__entries", lambda e: e["key"] == k), F.lit(0))["value"]
-    new = {prefix + k: F.coalesce(value_of(k), F.lit("")) for k in exact}
-    done = assign(source, new, **options) if new else source
+    done = source
+    if exact:
+        shape = T.StructType([T.StructField(k, T.StringType()) for k in exact])
+        source = source.withColumn("__fields", F.from_json(F.to_json("__map"), shape))
+        new = {}
+        for k in exact:
+            value, old = F.col("__fields").getField(k), field_name(prefix + k)
+            kept = val(old) if k not in named and old in df.columns else F.lit("")
+            new[prefix + k] = F.coalesce(value, kept)
+        done = assign(source, new, **options)
     if rest:
-        keys = F.array_distinct(F.transform("__entries", lambda e: e["key"]))
-        left = F.filter(keys, lambda k: ~k.isin(exact) & _any_of([k.startswith(p) for p in open_ended]))
-        named = F.map_from_arrays(F.transform(left, lambda k: F.concat(F.lit(prefix), k)), F.transform(left, value_of))
+        left = F.map_filter("__map", lambda k, _: ~k.isin(exact) & _any_of([k.startswith(p) for p in open_ended]))
+        more = F.transform_keys(left, lambda k, _: F.concat(F.lit(prefix), k))
         old = col(EXTRA) if EXTRA in df.columns else F.create_map().cast("map<string,string>")
-        keep = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(named), k))
+        keep = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(more), k))
         test = options.get("iff")
-        merged = F.map_concat(keep, named)
+        merged = F.map_concat(keep, more)
         done = done.withColumn(EXTRA, merged if test is None else F.when(test, merged).otherwise(old))
-    return done.drop("__entries")
+    return done.drop("__entries", "__keys", "__map", "__fields")
 
 
 def _any_of(tests: Sequence[Column]) -> Column:
@@ -290,6 +332,11 @@ def _opened(e: Column, preserve: Sequence[str]) -> Column:
     return F.when(_nested(e, preserve), F.coalesce(inner, itself)).otherwise(itself)
 
 
+def _step(key: str) -> str:
+    """One step of a path, in the kind of quotes that the key does not hold."""
+    return f'["{key}"]' if "'" in key else f"['{key}']"
+
+
 def unpack_json(
     df: DataFrame,
     from_: str = MSG,
@@ -299,21 +346,25 @@ def unpack_json(
     keep_original: bool = False,
     skip_empty: bool = False,
     iff: Column | None = None,
+    bound: int = MAX_DISCOVERED_KEYS,
 ) -> DataFrame:
-    """Fields of a JSON object. Named fields are read by path; ``*`` first finds the keys in one pass."""
+    """Fields of a JSON object. Named fields are read by path; ``*`` first finds the keys in one pass.
+
+    At most ``bound`` names that a wildcard finds become columns, the most frequent ones; the others go to the extra map.
+    """
     options = dict(keep_original=keep_original, skip_empty=skip_empty, iff=iff)
     text = val(from_)
     if all(not f.endswith("*") for f in fields) and not preserve_keys:
         parsed = F.try_parse_json(text)
         new = {}
         for f in fields:
-            path = "$" + "".join(f"['{p}']" for p in f.split("."))
-            whole = f"$['{f}']"
+            path = "$" + "".join(_step(p) for p in f.split("."))
+            whole = "$" + _step(f)
             read = F.try_variant_get(parsed, path, "string")
             new[result_prefix + f] = F.coalesce(read, F.try_variant_get(parsed, whole, "string") if "." in f else F.lit(None), F.lit(""))
         return assign(df, new, **options)
     entries = flat_json(df, text, "__json", preserve_keys)
-    return _unpacked(entries, F.col("__json"), fields, result_prefix, **options).drop("__json")
+    return _unpacked(entries, F.col("__json"), fields, result_prefix, bound, **options).drop("__json")
 
 
 LOGFMT = r'([^\s="]+)=("(?:[^"\\]|\\.)*"|[^\s"]*)'
@@ -333,10 +384,11 @@ def unpack_logfmt(
     keep_original: bool = False,
     skip_empty: bool = False,
     iff: Column | None = None,
+    bound: int = MAX_DISCOVERED_KEYS,
 ) -> DataFrame:
-    """Fields of ``k=v k="v w"`` text."""
+    """Fields of ``k=v k="v w"`` text; ``bound`` as for JSON."""
     options = dict(keep_original=keep_original, skip_empty=skip_empty, iff=iff)
-    return _unpacked(df, logfmt_entries(val(from_)), fields, result_prefix, **options)
+    return _unpacked(df, logfmt_entries(val(from_)), fields, result_prefix, bound, **options)
 
 
 # ---- fixed values: syslog shapes and names ---------------------------------

@@ -61,7 +61,11 @@ def time_bucket(c: Column, size, offset=0) -> Column:
 
 def bucket_value(df: DataFrame, b: Bucket) -> Column:
     if b.size in ("month", "year"):
-        return F.date_trunc(b.size, col(b.field))
+        shift = timespan.duration(b.offset) // 1000
+        if not shift:
+            return F.date_trunc(b.size, col(b.field))
+        moved = F.timestamp_micros(F.unix_micros(col(b.field).cast("timestamp")) - F.lit(shift))
+        return F.timestamp_micros(F.unix_micros(F.date_trunc(b.size, moved)) + F.lit(shift))
     if field_name(b.field) in df.columns and is_time(df, b.field):
         return time_bucket(col(b.field), b.size, b.offset)
     if isinstance(b.size, str) and b.size.startswith("/"):

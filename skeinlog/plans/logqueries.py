@@ -8,12 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skeinlog.functions import timespan
 from skeinlog.functions.aggs import Stat, count
 from skeinlog.functions.coerce import float_text
 from skeinlog.functions.timespan import micros_of
-from skeinlog.model import STREAM, STREAM_ID, TIME, col, field_name, is_numeric, out, stream_text, val
+from skeinlog.model import STREAM, STREAM_ID, TIME, attach, col, field_name, is_numeric, out, stream_text, val
 from skeinlog.operators.order import facets, field_names, field_values
-from skeinlog.operators.stats import Bucket, stats
+from skeinlog.operators.stats import NAMED_STEPS, Bucket, stats
 from skeinlog.sources.federation import cap
 
 Pipe = Callable[[DataFrame], DataFrame]
@@ -62,9 +63,10 @@ def stats_query(df: DataFrame, by: Sequence[str | Bucket], aggs: dict[str, Stat]
 def stats_query_range(
     df: DataFrame, by: Sequence[str | Bucket], aggs: dict[str, Stat], step: str, offset: str | int = 0, at: str = TIME
 ) -> DataFrame:
-    """One point per series and time step; a statistic is required."""
+    """One point per series and time step; a statistic is required. Rates are per second of the step."""
     if not aggs:
         raise ValueError("stats_query_range needs at least one statistic")
+    aggs = {n: s.at_step(timespan.duration(NAMED_STEPS.get(step, step)) / 1e9) for n, s in aggs.items()} if step not in ("month", "year") else aggs
     grouped = stats(df, [*by, Bucket(at, step, offset, "__ts")], **aggs)
     return _long(grouped, _by_names(by), list(aggs), F.unix_micros("__ts") / F.lit(1e6))
 
@@ -75,13 +77,11 @@ def hits(df: DataFrame, step: str, fields: Sequence[str] = (), offset: str | int
     Totals are summed over the counted buckets, so the log rows are shuffled once
     and only as counts.
     """
-    from pyspark.sql import Window
-
     counted = stats(df, [*fields, Bucket(at, step, offset, "__ts")], value=count())
     names = _by_names(fields)
     keyed = counted.select(labels_json(names).alias("fields"), F.date_format("__ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ts"), "value")
-    # One row per time step is left for each field set.
-    return keyed.withColumn("total", F.sum("value").over(Window.partitionBy("fields")))
+    by = ["fields"] if names else []
+    return attach(keyed, keyed.groupBy(*by).agg(F.sum("value").alias("total")), by)
 
 
 def facets_query(df: DataFrame, **options) -> DataFrame:

@@ -9,6 +9,10 @@ from skeinlog.functions.coerce import float_text
 from skeinlog.model import col, is_text, out, quoted, val
 
 
+# Times of the session, UTC, with all their digits.
+RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
 def without_empty(df: DataFrame) -> DataFrame:
     """Empty text becomes null, which the JSON writer leaves out."""
     return df.select(*[out(val(n)).alias(n) if is_text(df, n) else col(n) for n in df.columns])
@@ -16,7 +20,9 @@ def without_empty(df: DataFrame) -> DataFrame:
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON object per row, empty fields left out; every task writes its own file."""
-    without_empty(df).write.mode(mode).option("ignoreNullFields", "true").json(path)
+    without_empty(df).write.mode(mode).options(
+        ignoreNullFields="true", timestampFormat=RFC3339, timestampNTZFormat=RFC3339
+    ).json(path)
 
 
 def _points(series: DataFrame, keys: list[str]) -> DataFrame:

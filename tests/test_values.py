@@ -13,7 +13,7 @@ from skeinlog.functions import timespan
 from skeinlog.functions.textpat import extract_regex, parse_pattern
 from skeinlog.model import sort_key
 from skeinlog.operators import combine, order, shape
-from skeinlog.operators.stats import stats
+from skeinlog.operators.stats import Bucket, stats
 from skeinlog.functions import aggs as a
 from skeinlog.sources.federation import effective_limit, federate_reporting
 
@@ -183,10 +183,9 @@ def test_json_unpacking(spark):
     assert kept == '{"c":"x","d":[1,2]}'
 
 
-def test_keys_beyond_the_bound_stay_in_the_map(spark, monkeypatch):
-    monkeypatch.setattr(shape.discover, "__defaults__", (2,))
+def test_keys_beyond_the_bound_stay_in_the_map(spark):
     df = spark.createDataFrame([("a=1 b=2 c=3",), ("a=4 b=5",)], "_msg string")
-    rows = shape.unpack_logfmt(df).collect()
+    rows = shape.unpack_logfmt(df, bound=2).collect()
     assert [(r["a"], r["b"], r["_extra"]) for r in rows] == [("1", "2", {"c": "3"}), ("4", "5", {})]
 
 
@@ -239,3 +238,75 @@ def test_failed_clusters_are_named(spark):
     assert (df.count(), skipped) == (2, ["b"])
     with pytest.raises(Exception):
         federate_reporting({"b": lambda: spark.read.parquet("/tmp/absent-table")}, "fail")
+
+
+def test_wildcards_keep_fields_that_a_row_lacks(spark):
+    df = spark.createDataFrame([('{"a":"1"}', "keep"), ('{"level":"new"}', "old"), ('{"it\'s":"x"}', "keep")], "_msg string, level string")
+    assert [r["level"] for r in shape.unpack_json(df).collect()] == ["keep", "new", "keep"]
+    assert [r["level"] for r in shape.unpack_json(df, fields=["level"]).collect()] == ["", "new", ""]
+    assert [r["it's"] for r in shape.unpack_json(df, fields=["it's"]).collect()] == ["", "", "x"]
+    lines = spark.createDataFrame([("a=1", "keep"), ("level=new", "old")], "_msg string, level string")
+    assert [r["level"] for r in shape.unpack_logfmt(lines).collect()] == ["keep", "new"]
+
+
+@pytest.mark.parametrize("text, pattern, repl, limit, want", [
+    ("aaa", "^(a)", "[$1]", 2, "[a]aa"),
+    ("ab cd ef", r"\b(\w)(\w)", "$2${1}", 50, "ba dc fe"),
+    ("ab cd ef", r"\b(\w)(\w)", "$2$1", 2, "ba dc ef"),
+    ("abc", "(x*)", "-$1", 2, "-a-bc"),
+    ("none", "(x)", "$1$1", 3, "none"),
+    ("k=v", "(?<n>[a-z])=", "${n}:", 1, "k:v"),
+])
+def test_first_replacements_see_the_whole_text(spark, text, pattern, repl, limit, want):
+    df = spark.createDataFrame([(text,)], "_msg string")
+    assert shape.replace_regexp(df, pattern, repl, limit=limit).first()["_msg"] == want
+
+
+def test_not_a_number_never_wins(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (3.0, "c")], "x double, y string")
+    r = stats(df, lo=a.min_("x"), hi=a.max_("x"), y=a.field_max("x", "y")).first()
+    assert tuple(r) == (1.0, 3.0, "c")
+    r = df.where("y = 'b'").select(m.max_(F.col("x"), 1), m.add(F.col("x"), 1), m.mul(F.lit("5ms"), 2)).first()
+    assert tuple(r) == (1.0, None, 1e7)
+
+
+def test_deviation_of_several_fields_is_stable(spark):
+    df = spark.createDataFrame([(1e9 + 1, 1e9 + 2), (1e9 + 3, 1e9 + 4)], "a double, b double")
+    assert abs(stats(df, s=a.stddev("a", "b")).first()["s"] - 1.25**0.5) < 1e-9
+
+
+def test_numbers_of_64_bits(spark):
+    one = spark.range(1)
+    r = one.select(m.bit_and(1e19, 1e19), m.bit_or(6, 1), m.round_(7.3, F.lit(0.5)), m.round_(7.3e-18, 1e-18)).first()
+    assert r[0] == 1e19 and r[1] == 7 and r[2] == 7.5 and abs(r[3] - 7e-18) < 1e-30
+    kinds = spark.createDataFrame([("18446744073709551615",), ("18446744073709551616",), ("-9999999999999999999",)], "v string")
+    assert [r[0] for r in kinds.select(f.value_kind("v")).collect()] == ["uint64", "string", "string"]
+
+
+def test_month_buckets_take_an_offset(spark):
+    df = spark.sql("SELECT timestamp'2024-03-03 00:00:00' AS t UNION ALL SELECT timestamp'2024-03-07 00:00:00'")
+    got = stats(df, [Bucket("t", "month", "5d", "m")], n=a.count()).orderBy("m").collect()
+    assert [str(r["m"]) for r in got] == ["2024-02-06 00:00:00", "2024-03-06 00:00:00"]
+
+
+def test_rates_take_the_step_of_the_query(spark):
+    from skeinlog.plans.logqueries import stats_query_range
+
+    df = spark.sql("SELECT timestamp'2024-03-03 00:10:00' AS _time, 4.0D AS v UNION ALL SELECT timestamp'2024-03-03 00:20:00', 5.0D")
+    got = stats_query_range(df, [], {"r": a.rate(), "s": a.rate_sum("v")}, "1h").collect()
+    assert {r["name"]: round(float(r["value"]), 9) for r in got} == {"r": round(2 / 3600, 9), "s": 0.0025}
+
+
+def test_hits_without_points_keep_their_total(spark):
+    from skeinlog.operators.merge import merge_hits
+
+    df = spark.sql("SELECT map('a','b') AS fields, array() AS timestamps, array() AS values, 7 AS total").selectExpr(
+        "fields", "cast(timestamps AS array<string>) timestamps", "cast(values AS array<int>) values", "total")
+    assert [tuple(r) for r in merge_hits(df).collect()] == [('{"a":"b"}', None, None, 7)]
+
+
+def test_written_lines_keep_microseconds(spark, tmp_path):
+    from skeinlog.sources.writers import write_ndjson
+
+    write_ndjson(spark.sql("SELECT timestamp'2024-01-02 03:04:05.123456' AS _time"), f"{tmp_path}/out")
+    assert spark.read.text(f"{tmp_path}/out").first()[0] == '{"_time":"2024-01-02T03:04:05.123456Z"}'
