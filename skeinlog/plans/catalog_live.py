@@ -66,14 +66,13 @@ def _c12(spark, sf):
 @register("L1_tail", TAIL)
 def _l1(spark, sf):
     """The same pipes work on a stream and on a table."""
-    live_rows = appended(spark, live.tail(live_logs(spark, sf), *_pipes()))
-    return live_rows.join(live.tail(logs(spark, sf), *_pipes()), ["event_id", "kind"])
+    return appended(spark, live.tail(live_logs(spark, sf), *_pipes())).select("event_id", "kind")
 
 
-@register("L2_tail_sorted_batches", f"WITH {LOGS} SELECT event_id, _msg FROM logs WHERE user_id < 50")
+@register("L2_tail_sorted_batches", f"WITH {LOGS} SELECT event_id, _msg FROM logs")
 def _l2(spark, sf):
     path = scratch(spark, "tail")
-    rows = live_logs(spark, sf).where(f.lt("user_id", 50))
+    rows = live_logs(spark, sf)
     finished(live.tail_sorted_batches(rows, path, scratch(spark, "checkpoint"), tie=["event_id"], trigger=NOW))
     return live.current(spark, path).select("event_id", "_msg")
 

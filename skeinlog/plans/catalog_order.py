@@ -101,9 +101,13 @@ def _h_last(spark, sf):
     return order.last(logs(spark, sf), 5, ["value", "event_id"]).select("event_id")
 
 
-@register("H4_limit")
+@register("H4_limit", "SELECT 25::BIGINT AS n, 25::BIGINT AS different, 25::BIGINT AS known")
 def _limit(spark, sf):
-    return order.limit(logs(spark, sf).select("event_id"), 25)
+    """So many rows, all different, all from the table."""
+    rows, all_ = order.limit(logs(spark, sf).select("event_id"), 25), logs(spark, sf).select("event_id", F.lit(1).alias("known"))
+    return rows.join(all_, "event_id", "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("different"), F.count("known").alias("known")
+    )
 
 
 @register("H5_offset", "SELECT event_id FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS pos FROM events) WHERE pos > 9000")
@@ -160,14 +164,26 @@ def _facets(spark, sf):
     return order.facets(rows)
 
 
-@register("H10_sample")
+@register("H10_sample", "SELECT count(*) AS of, true AS fair, true AS different FROM events")
 def _sample(spark, sf):
-    return order.sample(logs(spark, sf).select("event_id"), 10, seed=7)
+    """About one row in ten, none twice."""
+    rows = logs(spark, sf).select("event_id")
+    drawn = order.sample(rows, 10, seed=7).withColumn("drawn", F.lit(1))
+    return rows.join(drawn, "event_id", "left").agg(
+        F.count_distinct("event_id").alias("of"), F.avg(F.coalesce("drawn", F.lit(0))).between(0.05, 0.15).alias("fair"),
+        (F.count(F.lit(1)) == F.count_distinct("event_id")).alias("different"),
+    )
 
 
-@register("H10_sample_by_key")
+@register("H10_sample_by_key", "SELECT count(DISTINCT user_id) AS of, true AS fair, true AS whole FROM events")
 def _sample_key(spark, sf):
-    return order.sample_by_key(logs(spark, sf).select("event_id", "user_id"), 10, ["user_id"])
+    """Some of the keys, each with all its rows or none."""
+    rows = logs(spark, sf).select("event_id", "user_id")
+    drawn = order.sample_by_key(rows, 10, ["user_id"]).select("event_id", F.lit(1).alias("drawn"))
+    share = rows.join(drawn, "event_id", "left").groupBy("user_id").agg(F.avg(F.coalesce("drawn", F.lit(0))).alias("share"))
+    return share.agg(
+        F.count(F.lit(1)).alias("of"), F.avg("share").between(0.01, 0.3).alias("fair"), F.bool_and(F.col("share").isin(0.0, 1.0)).alias("whole"),
+    )
 
 
 @register("H11_unique_name", "SELECT event_type AS hits, count(*) AS hitss FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3")

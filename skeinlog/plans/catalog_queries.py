@@ -44,6 +44,13 @@ def _range(spark, sf):
     return q.stats_query_range(logs(spark, sf), ["event_type"], {"n": a.count()}, "6h")
 
 
+@register("C3_rate", """SELECT '{"event_type":"' || event_type || '"}' AS metric, 'r' AS name, epoch(time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01'))::DOUBLE AS ts, round(count(*) / 21600.0, 9) AS value
+ FROM events GROUP BY event_type, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01')""")
+def _rate(spark, sf):
+    done = q.stats_query_range(logs(spark, sf), ["event_type"], {"r": a.rate()}, "6h")
+    return done.withColumn("value", F.round(F.col("value").cast("double"), 9))
+
+
 @register("C4_hits", """SELECT '{"event_type":"' || event_type || '"}' AS fields, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ') AS ts, count(*) AS value,
  CAST(sum(count(*)) OVER (PARTITION BY event_type) AS BIGINT) AS total FROM events GROUP BY event_type, date_trunc('hour', ts)""")
 def _hits(spark, sf):
@@ -166,14 +173,16 @@ def _matrix(spark, sf):
     return done.select(F.col("metric.type").alias("type"), F.col("metric.cluster").alias("cluster"), "ts", "value")
 
 
-@register("A8_to_matrix", """SELECT '{"type":"' || event_type || '"}' AS metric, string_agg(epoch(d)::BIGINT || '=' || n, ' ' ORDER BY d) AS series FROM (SELECT event_type, date_trunc('day', ts) AS d, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY event_type""")
+@register("A8_to_matrix", r"""WITH days AS (SELECT event_type, date_trunc('day', ts) AS d, count(*)::VARCHAR AS n, regexp_replace(max(value)::VARCHAR, '\.0$', '') AS hi FROM events GROUP BY 1, 2)
+SELECT '{"type":"' || event_type || '"}' AS metric, 'n' AS name, string_agg(epoch(d)::BIGINT || '=' || n, ' ' ORDER BY d) AS series FROM days GROUP BY event_type
+UNION ALL SELECT '{"type":"' || event_type || '"}', 'hi', string_agg(epoch(d)::BIGINT || '=' || hi, ' ' ORDER BY d) FROM days GROUP BY event_type""")
 def _to_matrix(spark, sf):
     from skeinlog.operators import merge
 
-    merged = merge.merge_stats_range(points(spark, sf).where(F.col("metric.__name__") == "n"), {"n": "count"})
+    merged = merge.merge_stats_range(points(spark, sf), {"n": "count", "hi": "max"})
     nested = writers.to_matrix(merged)
     text = F.transform("values", lambda p: F.concat(float_text(p["ts"]), F.lit("="), p["value"]))
-    return nested.select("metric", F.array_join(text, " ").alias("series"))
+    return nested.select("metric", "name", F.array_join(text, " ").alias("series"))
 
 
 @register("A8_to_vector", """SELECT '{"event_type":"' || event_type || '"}' AS metric, count(*)::VARCHAR AS value FROM events GROUP BY event_type""")

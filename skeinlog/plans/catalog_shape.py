@@ -92,6 +92,11 @@ def _replace_regexp(spark, sf):
     return shape.replace_regexp(table(spark, sf, "documents"), "([a-z])([0-9]+)", "$2$1", "text").select("doc_id", "text")
 
 
+@register("E10_replace_regexp_many", r"SELECT event_id, regexp_replace(event_type || ' user=' || user_id || ' value=' || value, '\b([a-z])([a-z]*)', '\2<\1>', 'g') AS a FROM events")
+def _replace_regexp_many(spark, sf):
+    return shape.replace_regexp(_texts(spark, sf, a="_msg"), r"\b([a-z])([a-z]*)", "$2<$1>", "a", limit=50).select("event_id", "a")
+
+
 @register("E10_replace_regexp_limit", r"SELECT event_id, regexp_replace(_msg, '([a-z]+)=', '[\1]') AS a, CASE WHEN event_type = 'click' THEN regexp_replace(_msg, '[aeiou]', '_') ELSE _msg END AS b FROM (SELECT *, event_type || ' user=' || user_id || ' value=' || value AS _msg FROM events)")
 def _replace_regexp_limit(spark, sf):
     rows = _texts(spark, sf, a="_msg", b="_msg")
@@ -116,9 +121,11 @@ def _len(spark, sf):
     return shape.len_(table(spark, sf, "documents"), "text", "n").select("doc_id", "n")
 
 
-@register("E14_hash")
+@register("E14_hash", "SELECT count(*) AS n, count(DISTINCT text) AS different FROM documents")
 def _hash(spark, sf):
-    return shape.hash_(table(spark, sf, "documents"), "text", "h").select("doc_id", "h")
+    """As many hashes as texts."""
+    hashed = shape.hash_(table(spark, sf, "documents"), "text", "h")
+    return hashed.agg(F.count("h").alias("n"), F.count_distinct("h").alias("different"))
 
 
 @register("E15_json_array_len", "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id % 4 END AS n FROM events")
@@ -154,6 +161,20 @@ def _unpack_json_all(spark, sf):
     return shape.unpack_json(rows, "doc", result_prefix="j_").drop("doc")
 
 
+@register("E18_unpack_json_existing", """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'keep' END AS level, CASE WHEN event_id % 2 = 1 THEN user_id::VARCHAR ELSE '' END AS other FROM events""")
+def _unpack_json_existing(spark, sf):
+    doc = "if(event_id % 2 = 0, concat('{\"level\":\"', event_type, '\"}'), concat('{\"other\":', user_id, '}'))"
+    rows = _texts(spark, sf, level="'keep'", doc=doc).select("event_id", "level", "doc")
+    return shape.unpack_json(rows, "doc").drop("doc")
+
+
+@register("E19_unpack_logfmt_existing", """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'keep' END AS level, CASE WHEN event_id % 2 = 1 THEN user_id::VARCHAR ELSE '' END AS other FROM events""")
+def _unpack_logfmt_existing(spark, sf):
+    line = "if(event_id % 2 = 0, concat('level=', event_type), concat('other=', user_id))"
+    rows = _texts(spark, sf, level="'keep'", line=line).select("event_id", "level", "line")
+    return shape.unpack_logfmt(rows, "line").drop("line")
+
+
 @register("E18_unpack_json_preserve", """SELECT event_id, '{"id":' || user_id || ',"kind":"' || event_type || '"}' AS who FROM events""")
 def _unpack_json_preserve(spark, sf):
     rows = _texts(spark, sf, doc=NESTED).select("event_id", "doc")
@@ -177,11 +198,11 @@ def _unpack_syslog(spark, sf):
     return done.select("event_id", "priority", "facility", "severity", "format", "timestamp", "hostname", "app_name", "proc_id", "msg_id", "message")
 
 
-@register("E21_unpack_words", r"""SELECT doc_id, '["' || array_to_string(regexp_extract_all(text, '[\p{L}\p{Nd}_]+'), '","') || '"]' AS words, len(list_distinct(regexp_extract_all(text, '[\p{L}\p{Nd}_]+')))::BIGINT AS n FROM documents WHERE regexp_matches(text, '[\p{L}\p{Nd}_]')""")
+@register("E21_unpack_words", r"""SELECT doc_id, CASE WHEN regexp_matches(text, '[\p{L}\p{Nd}_]') THEN '["' || array_to_string(regexp_extract_all(text, '[\p{L}\p{Nd}_]+'), '","') || '"]' ELSE '[]' END AS words, len(list_distinct(regexp_extract_all(text, '[\p{L}\p{Nd}_]+')))::BIGINT AS n FROM documents""")
 def _unpack_words(spark, sf):
     rows = shape.unpack_words(table(spark, sf, "documents"), "text", "words")
     rows = shape.json_array_len(shape.unpack_words(rows, "text", "uniq", drop_duplicates=True), "uniq", "n")
-    return rows.where(F.col("words") != "[]").select("doc_id", "words", "n")
+    return rows.select("doc_id", "words", "n")
 
 
 @register("E22_split", """SELECT o_orderkey, '["' || replace(o_orderpriority, '-', '","') || '"]' AS parts FROM orders""")
@@ -254,9 +275,12 @@ for _name, (_expr, _sql) in MATH.items():
     )
 
 
-@register("J20_rand")
+@register("J20_rand", "SELECT count(*) AS n, count(*) AS different, true AS inside FROM events")
 def _rand(spark, sf):
-    return shape.math_(logs(spark, sf), r=m.rand(5)).select("event_id", "r")
+    """A number of its own in [0, 1) for every row."""
+    drawn = shape.math_(logs(spark, sf), r=m.rand(5)).select("r")
+    inside = F.bool_and((F.col("r") >= 0) & (F.col("r") < 1))
+    return drawn.agg(F.count("r").alias("n"), F.count_distinct("r").alias("different"), inside.alias("inside"))
 
 
 @register("J21_now", "SELECT event_id, 1705708800000000000::DOUBLE AS r FROM events")

@@ -144,9 +144,26 @@ def _quantile_all(spark, sf):
     return stats(table(spark, sf, "lineitem"), [], p99=a.quantile(0.99, "l_extendedprice"), p50=a.median("l_extendedprice"))
 
 
-@register("F16_quantile_approx")
+@register("F17_stddev_fields", """SELECT event_type, round(stddev_pop(x), 4) AS r
+ FROM (SELECT event_type, value AS x FROM events UNION ALL SELECT event_type, user_id + 1e6 FROM events) GROUP BY 1""")
+def _stddev_fields(spark, sf):
+    rows = logs(spark, sf).withColumn("far", F.col("user_id") + F.lit(1e6))
+    return rounded(stats(rows, ["event_type"], r=a.stddev("value", "far")), 4, "r")
+
+
+@register("F3_bucket_month_offset", """SELECT strftime(date_trunc('month', l_shipdate - INTERVAL '5 days') + INTERVAL '5 days', '%Y-%m-%d') AS month, count(*) AS n FROM lineitem GROUP BY 1""")
+def _bucket_month_offset(spark, sf):
+    done = stats(table(spark, sf, "lineitem"), [Bucket("l_shipdate", "month", "5d", "month")], n=a.count())
+    return done.select(F.date_format("month", "yyyy-MM-dd").alias("month"), "n")
+
+
+@register("F16_quantile_approx", "SELECT event_type, true AS close FROM events GROUP BY 1")
 def _quantile_approx(spark, sf):
-    return stats(logs(spark, sf), ["event_type"], q=a.quantile_approx(0.9, "value"))
+    """Whether a share of the rows within 0.02 of the asked one is at most the answer."""
+    rows = logs(spark, sf)
+    found = stats(rows, ["event_type"], q=a.quantile_approx(0.9, "value"))
+    share = F.avg((F.col("value") <= F.col("q")).cast("int"))
+    return rows.join(found, "event_type").groupBy("event_type").agg(share.between(0.88, 0.92).alias("close"))
 
 
 @register("F23_json_values", """SELECT event_type, '[' || string_agg('{"event_id":"' || event_id || '"}', ',' ORDER BY value DESC, '{"event_id":"' || event_id || '"}') || ']' AS r
@@ -169,9 +186,14 @@ def _partial(spark, sf):
     return rounded(partial_stats(federate(clusters(spark, sf)), ["event_type"], n=a.count(), s=a.sum_("value")), 4, "s")
 
 
-@register("F31_mergeable_merge")
+@register("F31_mergeable_merge", "SELECT event_type, count(*) AS count, true AS close FROM events GROUP BY 1")
 def _mergeable(spark, sf):
-    return mergeable_merge(partial_state(federate(clusters(spark, sf)), ["event_type"], "value"), ["event_type"], 0.9)
+    """Whether quantile and distinct count of the merged sketches are within their errors."""
+    rows = logs(spark, sf)
+    found = mergeable_merge(partial_state(federate(clusters(spark, sf)), ["event_type"], "value"), ["event_type"], 0.9)
+    share, exact = F.avg((F.col("value") <= F.col("quantile")).cast("int")), F.count_distinct("value")
+    near = share.between(0.87, 0.93) & (F.abs(F.first("distinct") - exact) <= 0.1 * exact)
+    return rows.join(found, "event_type").groupBy("event_type", "count").agg(near.alias("close"))
 
 
 @register("F31_mergeable_mean", "SELECT event_type, count(*) AS count, round(avg(value), 6) AS avg FROM events GROUP BY 1")
@@ -250,11 +272,10 @@ def _instant(spark, sf):
     return merge.merge_stats_instant(grouped, {"n": "count", "hi": "max"})
 
 
-@register("B9_result_name", """SELECT '{"type":"' || event_type || '"}' AS metric, 'total' AS name, epoch(date_trunc('day', ts)) AS ts, (count(*) + max(value))::DOUBLE AS value FROM events
- WHERE event_id % 3 = 0 GROUP BY event_type, date_trunc('day', ts)""")
+@register("B9_result_name", """SELECT '{"type":"' || event_type || '"}' AS metric, 'total' AS name, epoch(d) AS ts, round(sum(v), 4) AS value
+ FROM (SELECT event_type, date_trunc('day', ts) AS d, (count(*) + max(value))::DOUBLE AS v FROM events GROUP BY event_id % 3, 1, 2) GROUP BY event_type, d""")
 def _result_name(spark, sf):
-    one = points(spark, sf).where(F.col(CLUSTER) == "c0")
-    return merge.merge_stats_range(one, {"total": "sum"})
+    return rounded(merge.merge_stats_range(points(spark, sf), {"total": "sum"}), 4, "value")
 
 
 def series(spark, sf):
@@ -273,6 +294,12 @@ def _merge_hits(spark, sf):
     return merge.merge_hits(series(spark, sf))
 
 
+@register("B10_merge_hits_no_points", """SELECT '{"type":"' || event_type || '"}' AS fields, NULL::VARCHAR AS ts, NULL::BIGINT AS value, count(*) AS total FROM events GROUP BY event_type""")
+def _merge_hits_no_points(spark, sf):
+    bare = series(spark, sf).withColumns({c: F.slice(c, 1, 0) for c in ("timestamps", "values")})
+    return merge.merge_hits(bare)
+
+
 @register("B11_merge_value_hits", "SELECT user_id::VARCHAR AS value, count(*) AS hits FROM events GROUP BY 1")
 def _value_hits(spark, sf):
     from skeinlog.operators.order import field_values
