@@ -58,7 +58,14 @@ def user_re(pattern: str) -> str:
     """Check a user regex: only constructs that mean the same in Java and RE2."""
     if re.search(r"\(\?(?:[=!]|<[=!]|>)", pattern) or re.search(r"\\[1-9]", pattern):
         raise ValueError(f"lookaround and back-references are not supported: {pattern!r}")
-    return pattern.replace("(?P<", "(?<")
+    return _line_ends(pattern.replace("(?P<", "(?<"))
+
+
+def _line_ends(pattern: str) -> str:
+    """``$`` as the very end: Java's also stands before a last newline. Not with (?m), where both mean line ends."""
+    if re.search(r"\(\?[a-z]*m", pattern):
+        return pattern
+    return re.sub(r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]|\$", lambda m: r"\z" if m[0] == "$" else m[0], pattern, flags=re.S)
 
 
 # ---- logic -----------------------------------------------------------------

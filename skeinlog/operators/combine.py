@@ -103,49 +103,44 @@ def _phrase_query(df: DataFrame, f: str, sub: DataFrame, sub_field: str | None,
     return df.where(any_phrase(f, few))
 
 
-# Phrases are joined on their first 2^k words (or characters, if they hold no word), k up to these bounds.
-_WORD_RUNS = (1, 2, 4, 8, 16, 32)
-_CHAR_RUNS = (1, 2, 4, 8)
-
-
-def _run_length(size: Column, runs: Sequence[int]) -> Column:
-    picked = F.lit(runs[0])
-    for n in runs[1:]:
-        picked = F.when(size >= n, n).otherwise(picked)
-    return picked
+# Phrases are joined on all their words (or characters, if they hold no word); longer ones on so many first ones.
+_WORD_RUN, _CHAR_RUN = 64, 16
 
 
 def _runs(tokens: Column, n: int, sep: str) -> Column:
-    """Distinct runs of n tokens (a power of two): runs are doubled by pairing the array with itself, shifted."""
+    """Runs of n tokens by place: doubled by pairing the array with itself, shifted; two that overlap make up the rest."""
     runs, have = tokens, 1
     while have < n:
-        runs = F.zip_with(runs, F.slice(runs, have + 1, F.size(runs)), lambda a, b: F.concat(a, F.lit(sep), b))
-        have *= 2
-    return F.array_distinct(F.array_compact(runs))
+        step = min(have, n - have)
+        runs = F.zip_with(runs, F.slice(runs, step + 1, F.size(runs)), lambda a, b: F.concat(a, F.lit(sep), b))
+        have += step
+    return F.array_compact(runs)
 
 
 def _word_join(df: DataFrame, f: str, phrases: DataFrame, every: bool) -> DataFrame:
     """Match against any number of phrases by equality joins, never all pairs.
 
-    A phrase is keyed by a run of its first words; a text offers every run of
-    that length once. Candidates are confirmed on the whole text.
+    A phrase is keyed by the run of its words; a text offers every run of that
+    length once. So phrases that only begin alike have different keys, and what
+    the join puts out is hits but for punctuation, confirmed on the whole text.
+    There is one pass for each length that phrases have.
     """
     words = lambda c: F.regexp_extract_all(c, F.lit(f"{WORD}+"), F.lit(0))
-    tokens = {"w": (words, " ", _WORD_RUNS), "c": (lambda c: F.split(c, ""), "", _CHAR_RUNS)}
+    tokens = {"w": (words, " ", _WORD_RUN), "c": (lambda c: F.split(c, ""), "", _CHAR_RUN)}
     listed = phrases.withColumn("__kind", F.when(F.col("__v") == "", "e").when(F.size(words(F.col("__v"))) > 0, "w").otherwise("c"))
     rows = durable(df.withColumns({"__row": F.monotonically_increasing_id(), "__text": val(f)}))
     texts = rows.select("__row", "__text")
     empty = listed.where(F.col("__kind") == "e").select("__v")
     found = texts.where(F.col("__text") == "").join(empty, F.col("__text") == F.col("__v")).select("__row", "__v")
-    for kind, (split, sep, lengths) in tokens.items():
+    for kind, (split, sep, most) in tokens.items():
         some = listed.where(F.col("__kind") == kind).withColumn("__t", split(F.col("__v")))
-        some = some.withColumn("__n", _run_length(F.size("__t"), lengths))
-        keyed = some.select("__v", "__n", F.array_join(F.slice("__t", F.lit(1), F.col("__n")), sep).alias("__key"))
-        used = [r[0] for r in keyed.select("__n").distinct().collect()]  # at most one entry per run length
+        some = some.withColumn("__n", F.least(F.size("__t"), F.lit(most)))
+        used = [r[0] for r in some.select("__n").distinct().collect()]  # at most one entry per run length
         for n in sorted(used):
             # Only row numbers and keys are multiplied; the text is joined back for candidates alone.
-            offered = texts.select("__row", F.explode(_runs(split(F.col("__text")), n, sep)).alias("__key"))
-            pairs = offered.join(keyed.where(F.col("__n") == n).drop("__n"), "__key")
+            offered = texts.select("__row", F.explode(F.array_distinct(_runs(split(F.col("__text")), n, sep))).alias("__key"))
+            keyed = some.where(F.col("__n") == n).select("__v", F.get(_runs(F.col("__t"), n, sep), F.lit(0)).alias("__key"))
+            pairs = offered.join(keyed, "__key")
             if kind == "w" and n == 1:
                 found = found.unionByName(pairs.where(F.col("__v") == F.col("__key")).select("__row", "__v"))
                 pairs = pairs.where(F.col("__v") != F.col("__key"))

@@ -310,3 +310,19 @@ def test_written_lines_keep_microseconds(spark, tmp_path):
 
     write_ndjson(spark.sql("SELECT timestamp'2024-01-02 03:04:05.123456' AS _time"), f"{tmp_path}/out")
     assert spark.read.text(f"{tmp_path}/out").first()[0] == '{"_time":"2024-01-02T03:04:05.123456Z"}'
+
+
+def test_end_of_text_is_the_very_end(spark):
+    df = spark.createDataFrame([("foo",), ("foo\n",), ("a$b",)], "v string")
+    assert [r[0] for r in df.select(f.regexp("v", "foo$")).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(f.regexp("v", r"[$]b|a\$")).collect()] == [False, False, True]
+
+
+def test_phrases_that_begin_alike_are_no_hot_key(spark):
+    texts = spark.createDataFrame([(i, f"the case of the w{i} and of the rest") for i in range(200)], "id long, t string")
+    phrases = spark.createDataFrame([(f"of the w{i}",) for i in range(300)], "p string")
+    found = combine.contains_any_query(texts, "t", phrases, inline_limit=1)
+    assert found.count() == 200
+    offered = texts.select("id", F.explode(combine._runs(F.split("t", " "), 3, " ")).alias("k"))
+    keys = phrases.select(F.get(combine._runs(F.split("p", " "), 3, " "), F.lit(0)).alias("k"))
+    assert offered.join(keys, "k").count() == 200
