@@ -18,10 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skeinlog.llm.common import cut, doc_key
+from skeinlog.llm.decontaminate import fingerprint_filter
 from skeinlog.llm.tokens import LINE_END, SPACE, Words, mix, powers, signed, slices, words
 
 #: Bytes from which a line is compared within one edit; shorter ones, such as a brace or a number, only if they are equal.
 LEAST = 20
+#: Bits of the filters of asked lines and of shared keys that tasks hold: 2 MB. What they let through too much costs a
+#: shuffle of it, no more.
+FILTER_BITS = 24
+#: Bits of a text's hash that tell texts of one doc_id apart.
+VERSION_BITS = 24
 _KEYS = ["p_low", "p_high", "s_low", "s_high"]
 _U = np.uint64
 
@@ -71,15 +77,43 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], ["doc", "version", "line", "h1", "h2", *_KEYS])
 
 
-def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each line asked for: itself (place -1) and its deletions, as hashes."""
-    for batch in (part for whole in batches for part in slices(whole)):
-        columns = batch.to_pydict()
-        out: list[list[np.ndarray]] = [[], [], [], []]
-        for k, (text, asked) in enumerate(zip(columns["text"], columns["asked"], strict=True)):
-            lines = (text or "").split("\n")
-            for one in asked:
-                line = lines[one["line"]]
+def _place_hash(doc: np.ndarray, version: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix(mix(doc.view(_U) * _U(3) + version.view(_U)) + line.view(_U))
+
+
+def _passes(filter_: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    bit = hashed & _U((1 << FILTER_BITS) - 1)
+    return (filter_[(bit >> _U(3)).astype(np.int64)] >> (bit & _U(7)).astype(np.uint8)) & 1 == 1
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = [np.asarray(batch.column(c)).astype(np.int64) for c in _AT]
+        yield pa.RecordBatch.from_arrays([signed(_place_hash(*at))], ["hash"])
+
+
+def _asked_rows(filter_: np.ndarray):
+    """The lines whose places the filter lets through, as texts."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                w, number, _ = _lines(part.column("text"))
+                row = np.repeat(np.arange(part.num_rows), w.counts)
+                at = [np.asarray(part.column(c)).astype(np.int64)[row] for c in ("doc", "version")] + [number.astype(np.int64)]
+                hit = np.flatnonzero(_passes(filter_, _place_hash(*at)))
+                text = [w.data[a:b].tobytes().decode() for a, b in zip(w.start[hit].tolist(), w.end[hit].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*[pa.array(x[hit]) for x in at], pa.array(text, pa.string())], [*_AT, "text"])
+
+    return rows
+
+
+def _variant_rows(filter_: np.ndarray | None = None):
+    """For each line itself (place -1) and its deletions, as hashes; those that the filter lets through."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", 1 << 19)):
+            out: tuple[list, list, list] = ([np.zeros(0, _U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)])
+            for one in batch.to_pylist():
+                line = one["text"]
                 c = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(_U) + _U(1)
                 n = len(c)
                 power, inverse = powers(n + 1)
@@ -88,17 +122,16 @@ def _variant_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 # characters that the shared half holds at least, by the bytes that _half_keys compares
                 half = max(0, n // (2 if line.isascii() else 8) - 8)
                 low, high = 0 if one["suffix"] else half, n if one["prefix"] else n - half
-                places = np.arange(n)[low:high]
                 out[0].append(np.concatenate([mix(sums[-1:] + _U(n)), mix(gone[low:high] + _U(n - 1))]))
-                out[1].append(np.concatenate([[-1], places]))
-                out[2].append(np.full(len(places) + 1, k))
-                out[3].append(np.full(len(places) + 1, one["line"]))
-        key, place, row, line = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-        take = pa.array(row.astype(np.int64))
-        yield pa.RecordBatch.from_arrays([
-            signed(key.astype(_U)), pa.array(place.astype(np.int32)), batch.column("doc").take(take),
-            batch.column("version").take(take), pa.array(line.astype(np.int64)),
-        ], ["key", "place", "doc", "version", "line"])
+                out[1].append(np.concatenate([[-1], np.arange(n)[low:high]]))
+                out[2].append(np.full(len(out[1][-1]), one["id"]))
+            key, place, id_ = (np.concatenate(x) for x in out)
+            if filter_ is not None:
+                hit = _passes(filter_, key)
+                key, place, id_ = key[hit], place[hit], id_[hit]
+            yield pa.RecordBatch.from_arrays([signed(key), pa.array(place.astype(np.int32)), pa.array(id_)], ["key", "place", "id"])
+
+    return rows
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -115,7 +148,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = batch.to_pydict()
         keep = [one_edit(x, y) for x, y in zip(columns["mine"], columns["theirs"], strict=True)]
-        yield batch.select(["doc", "version", "line"]).filter(pa.array(keep, pa.bool_()))
+        yield batch.select(["id"]).filter(pa.array(keep, pa.bool_()))
 
 
 _AT = ["doc", "version", "line"]
@@ -123,52 +156,49 @@ _AT = ["doc", "version", "line"]
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """docs (doc long and not null, version, text) to rows (doc, version, line) of the lines that go; some come twice."""
-    lines = cut(docs.mapInArrow(_line_rows, "doc long, version long, line long, h1 long, h2 long, " + ", ".join(f"{k} long" for k in _KEYS)))
-    firsts = cut(lines.groupBy("h1", "h2").agg(
-        F.min(F.struct(*_AT)).alias("first"), *[F.max(k).alias(k) for k in _KEYS]
-    ))
+    place = "doc long, version long, line long"
+    lines = cut(docs.mapInArrow(_line_rows, f"{place}, h1 long, h2 long, " + ", ".join(f"{k} long" for k in _KEYS)))
+    firsts = cut(lines.groupBy("h1", "h2").agg(F.min(F.struct(*_AT)).alias("first")))
     # lines that share a half with another line, and which half
-    halves = firsts.select("first", F.explode(F.array(*[
+    halves = lines.select("h1", F.explode(F.array(*[
         F.struct(F.col(k).alias("key"), F.lit(k[0] == "p").alias("prefix")) for k in _KEYS
-    ])).alias("half")).where("half.key IS NOT NULL").select("first", "half.key", "half.prefix")
-    shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    asked = halves.join(shared, "key").groupBy("first").agg(
-        F.max("prefix").alias("prefix"), F.max(~F.col("prefix")).alias("suffix")
-    ).groupBy("first.doc", "first.version").agg(
-        F.collect_list(F.struct(F.col("first.line").alias("line"), "prefix", "suffix")).alias("asked")
-    ).withColumnsRenamed({"doc": "__doc", "version": "__version"})
-    same_doc = (F.col("doc") == F.col("__doc")) & (F.col("version") == F.col("__version"))
-    once = docs.join(asked, same_doc).select("doc", "version", "text", "asked").dropDuplicates(["doc", "version"])
-    once = cut(once)
-    variants = cut(once.mapInArrow(_variant_rows, "key long, place int, doc long, version long, line long"))
-    at = F.struct(*_AT)
+    ])).alias("half")).where("half.key IS NOT NULL").select("h1", "half.key", "half.prefix")
+    shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("key")
+    near = halves.join(shared, "key").groupBy("h1").agg(F.max("prefix").alias("prefix"), F.max(~F.col("prefix")).alias("suffix"))
+    # numbers in the order of the lines, so that the least number is the earliest line
+    asked = cut(
+        firsts.join(near, "h1").select("first.*", "prefix", "suffix").orderBy(*_AT).withColumn("id", F.monotonically_increasing_id())
+    )
+    filter_ = fingerprint_filter(asked.mapInArrow(_places, "hash long"), FILTER_BITS)
+    texts = docs.mapInArrow(_asked_rows(filter_), f"{place}, text string").join(asked, _AT).dropDuplicates(["id"])
+    once = cut(texts.select("id", "text", "prefix", "suffix"))
+    rows = "key long, place int, id long"
+    busy = once.mapInArrow(_variant_rows(), rows).groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a != b")
+    filter_ = fingerprint_filter(busy.select(F.col("key").alias("hash")), FILTER_BITS)
+    variants = cut(once.mapInArrow(_variant_rows(filter_), rows))
     # replaced: one place deleted from both; the earliest line of such a group is one edit from every other
-    best = variants.groupBy("key", "place").agg(F.min(at).alias("one"), F.count(F.lit(1)).alias("n"))
+    best = variants.groupBy("key", "place").agg(F.min("id").alias("earlier"))
     whole, deleted = best.where("place = -1"), best.where("place >= 0")
-    by_key = deleted.groupBy("key").agg(F.min("one").alias("one"))
-    renamed = {"key": "k", "place": "p", "one": "earlier"}
+    renamed = {"key": "k", "place": "p"}
     replaced = variants.where("place >= 0").join(
-        deleted.where("n > 1").withColumnsRenamed(renamed), (F.col("key") == F.col("k")) & (F.col("place") == F.col("p"))
+        deleted.withColumnsRenamed(renamed), (F.col("key") == F.col("k")) & (F.col("place") == F.col("p"))
     )
     shorter = variants.where("place >= 0").join(whole.withColumnsRenamed(renamed), F.col("key") == F.col("k"))
-    longer = variants.where("place = -1").join(by_key.withColumnsRenamed(renamed), F.col("key") == F.col("k"))
-    found = replaced.select(*_AT, "earlier")
+    by_key = deleted.groupBy(F.col("key").alias("k")).agg(F.min("earlier").alias("earlier"))
+    longer = variants.where("place = -1").join(by_key, F.col("key") == F.col("k"))
+    found = replaced.select("id", "earlier")
     for more in (shorter, longer):
-        found = found.union(more.select(*_AT, "earlier"))
-    pairs = found.where(F.col("earlier") < at).groupBy(*_AT).agg(F.collect_set("earlier").alias("earlier"))
-    pairs = pairs.select(*_AT, F.explode("earlier").alias("e"))
-    asked_lines = once.select(F.col("doc").alias("d"), F.col("version").alias("v"), F.split("text", "\n").alias("all"), F.explode("asked.line").alias("l"))
-    text = asked_lines.select("d", "v", "l", F.expr("all[int(l)]").alias("mine"))
+        found = found.union(more.select("id", "earlier"))
     told = (
-        pairs.join(text, (F.col("doc") == F.col("d")) & (F.col("version") == F.col("v")) & (F.col("line") == F.col("l"))).drop("d", "v", "l")
-        .join(text.withColumnRenamed("mine", "theirs"), (
-            (F.col("e.doc") == F.col("d")) & (F.col("e.version") == F.col("v")) & (F.col("e.line") == F.col("l"))
-        )).select(*_AT, "mine", "theirs").mapInArrow(_verified, "doc long, version long, line long")
+        found.where("earlier < id").distinct()
+        .join(once.select("id", F.col("text").alias("mine")), "id")
+        .join(once.select(F.col("id").alias("earlier"), F.col("text").alias("theirs")), "earlier")
+        .select("id", "mine", "theirs").mapInArrow(_verified, "id long").distinct().join(asked.select("id", *_AT), "id")
     )
     again = lines.join(firsts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), "first"), (
         (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
-    )).where(at > F.col("first"))
-    return told.union(again.select(*_AT))
+    )).where(F.struct(*_AT) > F.col("first"))
+    return told.select(*_AT).union(again.select(*_AT))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -187,7 +217,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 def with_kept_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The columns of docs with n_lines, n_removed and kept; see dedup_lines."""
     keyed = docs.withColumns({
-        "__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), "__version": doc_key(text), "__text": F.col(text),
+        "__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), "__version": doc_key(text).bitwiseAND(F.lit((1 << VERSION_BITS) - 1)), "__text": F.col(text),
     })
     told = removed_lines(keyed.select(
         F.col("__doc").alias("doc"), F.col("__version").alias("version"), F.col("__text").alias("text")
