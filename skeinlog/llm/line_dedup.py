@@ -210,43 +210,42 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     in id but not in text are ordered by a hash of the text, and rows that agree in both are one document. Null text
     stays null and has no lines.
     """
-    kept = with_kept_lines(docs.select("doc_id", "text"), "doc_id", "text")
-    return kept.select("doc_id", "n_lines", "n_removed", "kept")
+    return with_kept_lines(docs.select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "kept")
 
 
-def with_kept_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The columns of docs with n_lines, n_removed and kept; see dedup_lines."""
+def with_kept_lines(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, and others but not __doc, __version) with n_lines, n_removed and kept; see dedup_lines."""
     keyed = docs.withColumns({
-        "__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))), "__version": doc_key(text).bitwiseAND(F.lit((1 << VERSION_BITS) - 1)), "__text": F.col(text),
+        "__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
+        "__version": doc_key().bitwiseAND(F.lit((1 << VERSION_BITS) - 1)),
     })
-    told = removed_lines(keyed.select(
-        F.col("__doc").alias("doc"), F.col("__version").alias("version"), F.col("__text").alias("text")
-    )).groupBy(F.col("doc").alias("__d"), F.col("version").alias("__v")).agg(F.collect_set("line").alias("__gone"))
-    every = keyed.join(told, (F.col("__doc") == F.col("__d")) & (F.col("__version") == F.col("__v")), "left").drop("__d", "__v")
+    told = removed_lines(keyed.select(F.col("__doc").alias("doc"), F.col("__version").alias("version"), "text")).groupBy(
+        F.col("doc").alias("__d"), F.col("version").alias("__v")
+    ).agg(F.collect_set("line").alias("__gone"))
+    every = keyed.join(told, (F.col("__doc") == F.col("__d")) & (F.col("__version") == F.col("__v")), "left")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     columns = list(docs.columns)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, n = [], []
-            for text, gone in zip(batch.column("__text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
-                lines, gone = (text or "").split("\n"), set(gone or ())
-                n.append((sum(1 for x in lines if x.strip(" \t\n\v\f\r")), len(gone)))
-                kept.append(text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone))
-            yield pa.RecordBatch.from_arrays([
-                *[batch.column(c) for c in columns], pa.array([x for x, _ in n], pa.int64()),
-                pa.array([x for _, x in n], pa.int64()), pa.array(kept, pa.string()),
-            ], [*columns, "n_lines", "n_removed", "kept"])
+            for part in slices(batch):
+                kept, n = [], []
+                for text, gone in zip(part.column("text").to_pylist(), part.column("__gone").to_pylist(), strict=True):
+                    lines, gone = (text or "").split("\n"), set(gone or ())
+                    n.append((sum(1 for x in lines if x.strip(" \t\n\v\f\r")), len(gone)))
+                    kept.append(text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone))
+                yield pa.RecordBatch.from_arrays([
+                    *[part.column(c) for c in columns], pa.array([x for x, _ in n], pa.int64()),
+                    pa.array([x for _, x in n], pa.int64()), pa.array(kept, pa.string()),
+                ], [*columns, "n_lines", "n_removed", "kept"])
 
-    return every.mapInArrow(rows, f"{schema}, n_lines long, n_removed long, kept string")
+    return every.select(*columns, "__gone").mapInArrow(rows, f"{schema}, n_lines long, n_removed long, kept string")
 
 
 def keep_lines(docs: DataFrame) -> DataFrame:
     """The documents with the lines that stay as their text, and n_chars, where there is one, counted anew."""
     names = docs.columns
-    held = docs.select(F.struct("*").alias("__doc_row"), "doc_id", "text")
-    out = with_kept_lines(held, "doc_id", "text")
-    columns = [F.col("__doc_row")[c].alias(c) for c in names if c not in ("text", "n_chars")]
-    fresh = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    columns += [fresh[c].alias(c) for c in names if c in fresh]
-    return out.select(*columns).select(*names)
+    rest = [c for c in names if c not in ("doc_id", "text", "n_chars")]
+    held = docs.select("doc_id", "text", F.struct(F.lit(0).alias("__0"), *rest).alias("__rest"))
+    fresh = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return with_kept_lines(held).select(*[fresh.get(c, F.col("__rest")[c]).alias(c) for c in names])

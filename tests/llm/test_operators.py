@@ -190,7 +190,7 @@ def test_line_dedup(spark, small, clashing, none):
         want[i, t] = (filled, removed, "\n".join(out) if t is not None else None)
     assert len(gone) >= 4
     # as given, the table may hold a document twice: the result has a row for each
-    rows = line_dedup.with_kept_lines(table, "doc_id", "text").collect()
+    rows = line_dedup.with_kept_lines(table).collect()
     assert len(rows) == table.count()
     for r in rows:
         assert (r["n_lines"], r["n_removed"], r["kept"]) == want[r["doc_id"], r["text"]]
