@@ -22,9 +22,10 @@ from skeinlog.llm.tokens import SPACE, Words, mix, slices, words
 SHINGLE = 5
 #: A pair of similarity 0.8 misses all bands once in 20 million pairs, one of 0.85 once in 10 billion.
 BANDS, ROWS = 32, 4
-MINIMA = BANDS * ROWS
-#: Minima that two signatures must share before sets are compared: six standard errors below the asked similarity.
-SLACK = 6.0
+#: Minima of a signature; the bands use the first of them. Two signatures are alike if they share a part that is four
+#: standard errors below the asked similarity: of links just at the bound, one in 30,000 is left to other paths.
+MINIMA = 512
+SLACK = 4.0
 BLOCK = 256
 
 _rng = np.random.default_rng(20240607)
@@ -50,15 +51,15 @@ def shingle_sets(w: Words, k: int = SHINGLE) -> Iterator[np.ndarray]:
 def minima(s: np.ndarray) -> np.ndarray:
     """The least value of each hash function over a set."""
     out = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(s), 1024):
-        part = s[None, i : i + 1024] * _A[:, None]
+    for i in range(0, len(s), 256):
+        part = s[None, i : i + 256] * _A[:, None]
         part += _B[:, None]
         np.minimum(out, part.min(axis=1), out=out)
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    rows = signature.reshape(BANDS, ROWS).astype(np.uint64)
+    rows = signature[: BANDS * ROWS].reshape(BANDS, ROWS).astype(np.uint64)
     key = np.arange(BANDS, dtype=np.uint64)
     for j in range(ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, j])
@@ -74,7 +75,7 @@ def _signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     size.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     low = minima(s) if len(s) else None
-                    signature.append(None if low is None else low.astype(np.uint16).tobytes())
+                    signature.append(None if low is None else low.astype(np.uint8).tobytes())
                     keys.append([] if low is None else band_keys(low))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), part.column("version"), pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
@@ -103,7 +104,7 @@ def _alike(percent: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("s_a", "s_b"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MINIMA) for c in ("s_a", "s_b"))
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return rows
@@ -129,7 +130,7 @@ def _block_pairs(percent: int):
 
     def side(v: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = v.values
-        signature = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint16).reshape(-1, MINIMA)
+        signature = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint8).reshape(-1, MINIMA)
         return np.asarray(rows.field("node")), np.asarray(rows.field("component")), signature
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +161,7 @@ class _Corpus:
             .join(s.withColumnsRenamed({"node": "b", "signature": "s_b"}), "b")
             .mapInArrow(_alike(self.percent), "a long, b long")
         )
-        asked = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.first.select("node", "version"), "node")
+        asked = alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct().join(self.first.select("node", "version"), "node")
         texts = self.docs.join(
             asked.select("node", F.col("version").alias("__version")),
             (F.col("doc_id") == F.col("node")) & (F.col("version") == F.col("__version")),
