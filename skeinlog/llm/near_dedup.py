@@ -125,21 +125,27 @@ def _confirmed(percent: int):
 
 
 def _block_pairs(percent: int):
-    """Pairs of two blocks of one bucket that lie in different components and whose signatures are alike."""
+    """Alike pairs of two blocks of one bucket that lie in different components, each in the first bucket it shares."""
     least = _least_shared(percent)
 
-    def side(v: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def side(v: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         rows = v.values
         signature = np.frombuffer(b"".join(rows.field("signature").to_pylist()), np.uint8).reshape(-1, MINIMA)
-        return np.asarray(rows.field("node")), np.asarray(rows.field("component")), signature
+        bands = np.asarray(rows.field("bands").flatten()).reshape(-1, BANDS)
+        return np.asarray(rows.field("node")), np.asarray(rows.field("component")), signature, bands
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for x, y in zip(batch.column("few"), batch.column("many"), strict=True):
-                (n, c, s), (m, d, t) = side(x), side(y)
+            keys, mains = batch.column("key").to_pylist(), batch.column("main").to_pylist()
+            for key, main, x, y in zip(keys, mains, batch.column("few"), batch.column("many"), strict=True):
+                (n, c, s, p), (m, d, t, q) = side(x), side(y)
                 for i in range(len(n)):
-                    hit = ((t == s[i]).sum(axis=1) >= least) & (d != c[i])
+                    # two that are both outside the largest component meet twice in a bucket: once is enough
+                    hit = np.flatnonzero((d != c[i]) & ((d == main) | (m > n[i])))
+                    hit = hit[(t[hit] == s[i]).sum(axis=1) >= least]
+                    shared = q[hit] == p[i]
+                    hit = hit[p[i][shared.argmax(axis=1)] == key] if len(hit) else hit
                     out_a.append(np.minimum(m[hit], n[i]))
                     out_b.append(np.maximum(m[hit], n[i]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
@@ -194,14 +200,14 @@ def _pairs_left(members: DataFrame, found: DataFrame, first: DataFrame, percent:
     split = sizes.groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").select("key", F.col("main.component").alias("main"), "all")
-    rows = at.join(split, "key").join(first.select("node", "signature"), "node")
+    rows = at.join(split, "key").join(first.select("node", "signature", "bands"), "node")
     # blocks of bounded size; a small bucket is one block
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / BLOCK).cast("long"))
-    held = F.collect_list(F.struct("node", "component", "signature"))
+    held = F.collect_list(F.struct("node", "component", "signature", "bands"))
     rows = rows.withColumn("block", block)
-    few = rows.where("component != main").groupBy("key", "block").agg(held.alias("few"))
+    few = rows.where("component != main").groupBy("key", "block").agg(held.alias("few"), F.first("main").alias("main"))
     many = rows.groupBy("key", "block").agg(held.alias("many"))
-    return few.select("key", "few").join(many.select("key", "many"), "key").select("few", "many").mapInArrow(
+    return few.select("key", "few", "main").join(many.select("key", "many"), "key").mapInArrow(
         _block_pairs(percent), "a long, b long"
     ).distinct()
 
