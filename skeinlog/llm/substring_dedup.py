@@ -29,6 +29,8 @@ RUN = 8
 FILTER_BITS = 27
 SHARD_WORDS = 100_000
 CHUNK_WORDS = 400_000
+#: Bits of a text's hash that tell texts of one doc_id apart. Every window carries them, so they are few.
+VERSION_BITS = 24
 
 
 def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,7 +277,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hash of the text, rows that agree in both are one document and get the same answer. Null text has no words.
     """
     least = -(1 << 63)
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc"), doc_key().alias("version"), "text")
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc"), doc_key().bitwiseAND(F.lit((1 << VERSION_BITS) - 1)).alias("version"), "text")
     spans = repeated_spans(keyed.drop("doc_id")).withColumnsRenamed({"doc": "__doc", "version": "__version"})
     kind = docs.schema["doc_id"].dataType.simpleString()
     return keyed.join(spans, (F.col("doc") == F.col("__doc")) & (F.col("version") == F.col("__version")), "left").select(
