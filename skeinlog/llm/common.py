@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -25,13 +26,22 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers find this package wherever the session was started; a cluster has it installed or shipped."""
+    root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    reachable(spark)
     df = spark.read.parquet(f"{sf}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names. Where it is unset, as in tests, a temporary one of a local session."""
+    reachable(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local["):
