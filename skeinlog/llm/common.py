@@ -68,6 +68,28 @@ def doc_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def with_versions(docs: DataFrame, doc: str = "doc", version: str = "version") -> DataFrame:
+    """docs (doc_id, text) with doc, the id as a long not null, and version, which tells the texts of one doc apart.
+
+    A doc with one text has version 0. Each text of the others has a number of its own, dealt in order of doc_key over a
+    written table of distinct texts' digests, so that no two share one, however many texts an id (or null) has.
+    """
+    keyed = docs.withColumn(doc, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    texts = cut(keyed.select(F.col(doc).alias("__id"), doc_key().alias("__key"), digest.alias("__digest")).distinct())
+    several = cut(texts.groupBy("__id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__id"))
+    alone = keyed.withColumn(version, F.lit(0).cast("long"))
+    if not several.take(1):
+        return alone
+    numbers = cut(
+        texts.join(several, "__id", "left_semi").orderBy("__id", "__key", "__digest").withColumn("__number", F.monotonically_increasing_id())
+    )
+    shared = keyed.withColumn("__sha", digest).join(numbers, (F.col(doc) == F.col("__id")) & (F.col("__sha") == F.col("__digest")))
+    # with numbers that are too many to broadcast the texts are moved: once, whoever reads them
+    shared = cut(shared.withColumn(version, F.col("__number")).select(alone.columns))
+    return alone.join(several, F.col(doc) == F.col("__id"), "left_anti").union(shared)
+
+
 def same(left: DataFrame, right: DataFrame, *keys: str) -> Column:
     """Equality of keys that may be null."""
     on = [left[k].eqNullSafe(right[k]) for k in keys]

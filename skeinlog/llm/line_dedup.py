@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinlog.llm.common import cut, doc_key
+from skeinlog.llm.common import cut, with_versions
 from skeinlog.llm.decontaminate import fingerprint_filter
 from skeinlog.llm.tokens import LINE_END, SPACE, Words, mix, powers, signed, slices, words
 
@@ -26,8 +26,6 @@ LEAST = 20
 #: Bits of the filters of asked lines and of shared keys that tasks hold: 2 MB. What they let through too much costs a
 #: shuffle of it, no more.
 FILTER_BITS = 24
-#: Bits of a text's hash that tell texts of one doc_id apart.
-VERSION_BITS = 24
 _KEYS = ["p_low", "p_high", "s_low", "s_high"]
 _U = np.uint64
 
@@ -215,10 +213,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 def with_kept_lines(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, and others but not __doc, __version) with n_lines, n_removed and kept; see dedup_lines."""
-    keyed = docs.withColumns({
-        "__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))),
-        "__version": doc_key().bitwiseAND(F.lit((1 << VERSION_BITS) - 1)),
-    })
+    keyed = with_versions(docs, "__doc", "__version")
     told = removed_lines(keyed.select(F.col("__doc").alias("doc"), F.col("__version").alias("version"), "text")).groupBy(
         F.col("doc").alias("__d"), F.col("version").alias("__v")
     ).agg(F.collect_set("line").alias("__gone"))

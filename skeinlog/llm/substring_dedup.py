@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skeinlog.llm.common import cut, doc_key
+from skeinlog.llm.common import cut, with_versions
 from skeinlog.llm.decontaminate import fingerprint_filter
 from skeinlog.llm.tokens import SPACE, Words, signed, slices, words
 
@@ -29,8 +29,6 @@ RUN = 8
 FILTER_BITS = 27
 SHARD_WORDS = 100_000
 CHUNK_WORDS = 400_000
-#: Bits of a text's hash that tell texts of one doc_id apart. Every window carries them, so they are few.
-VERSION_BITS = 24
 
 
 def _selected(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,9 +274,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     earlier in the same text. Null ids come before all others; rows that agree in id but not in text are ordered by a
     hash of the text, rows that agree in both are one document and get the same answer. Null text has no words.
     """
-    least = -(1 << 63)
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(least)).alias("doc"), doc_key().bitwiseAND(F.lit((1 << VERSION_BITS) - 1)).alias("version"), "text")
-    spans = repeated_spans(keyed.drop("doc_id")).withColumnsRenamed({"doc": "__doc", "version": "__version"})
+    keyed = with_versions(docs.select("doc_id", "text"))
+    spans = repeated_spans(keyed.select("doc", "version", "text")).withColumnsRenamed({"doc": "__doc", "version": "__version"})
     kind = docs.schema["doc_id"].dataType.simpleString()
     return keyed.join(spans, (F.col("doc") == F.col("__doc")) & (F.col("version") == F.col("__version")), "left").select(
         "doc_id", "text", "spans"

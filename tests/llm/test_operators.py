@@ -199,6 +199,30 @@ def test_line_dedup(spark, small, clashing, none):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def clashing_texts(spark, make):
+    """Two texts under null whose doc_key agrees in its low 24 bits, and what doc_key gives, in its order."""
+    # pairs of this many texts clash about 30 times
+    keyed = spark.range(32_000).select(F.concat(F.lit(make(0)), F.col("id").cast("string"), F.lit(make(1))).alias("t"))
+    keyed = keyed.withColumn("k", F.xxhash64("t"))
+    low = keyed.groupBy((F.col("k").bitwiseAND(F.lit((1 << 24) - 1))).alias("b")).agg(F.sort_array(F.collect_list(F.struct("k", "t"))).alias("all"))
+    pair = low.where("size(all) > 1").orderBy("b").first()["all"][:2]
+    return [r["t"] for r in pair]
+
+
+def test_texts_of_one_id_whose_hashes_agree_in_part_stay_apart(spark):
+    shape = "doc_id long, text string"
+    tail = " ".join(f"t{k}" for k in range(30))
+    a, b = clashing_texts(spark, lambda side: ("start ", f" {tail}")[side])
+    # the later text repeats the earlier one's tail; the first two words of each stay
+    rows = substring_dedup.remove_repeats(spark.createDataFrame([(None, a), (None, b)], shape)).collect()
+    assert sorted((r["n_removed"], r["kept"]) for r in rows) == sorted([(0, a), (30, b[: -len(tail) - 1])])
+    a, b = clashing_texts(spark, lambda side: ("a line of its own before the number ", "\nanother line that both of them hold")[side])
+    rows = line_dedup.dedup_lines(spark.createDataFrame([(None, a), (None, b), (None, b)], shape)).collect()
+    assert len(rows) == 3 and sorted({r["n_removed"] for r in rows}) == [0, 1]
+    assert {r["kept"] for r in rows if r["n_removed"] == 0} == {a}
+    assert {r["kept"] for r in rows if r["n_removed"] == 1} == {b.split("\n")[0]}
+
+
 def test_line_hashes_agree_with_python():
     assert line_dedup.one_edit("abc", "abd") and line_dedup.one_edit("abc", "ab") and line_dedup.one_edit("abc", "xabc")
     assert not line_dedup.one_edit("abc", "abc") and not line_dedup.one_edit("abc", "acb")
