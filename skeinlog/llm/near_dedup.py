@@ -167,11 +167,8 @@ class _Corpus:
             .join(s.withColumnsRenamed({"node": "b", "signature": "s_b"}), "b")
             .mapInArrow(_alike(self.percent), "a long, b long")
         )
-        asked = alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct().join(self.first.select("node", "version"), "node")
-        texts = self.docs.join(
-            asked.select("node", F.col("version").alias("__version")),
-            (F.col("doc_id") == F.col("node")) & (F.col("version") == F.col("__version")),
-        ).select("node", "version", "text").dropDuplicates(["node", "version"])
+        asked = alike.select(F.col("a").alias("node")).union(alike.select("b")).distinct().join(self.first.select("node", "doc_id", "version"), "node")
+        texts = self.docs.join(asked, ["doc_id", "version"]).select("node", "text").dropDuplicates(["node"])
         sets = cut(texts.mapInArrow(_set_rows, "node long, members binary"))
         return cut(
             alike.join(sets.withColumnsRenamed({"node": "a", "members": "m_a"}), "a")
@@ -216,9 +213,10 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """For each row of docs (doc_id long and text): doc_id, version (hash of its text), n_shingles, component_id, kept.
 
     Two documents are linked if their sets of five-word shingles (ASCII lower-cased) share at least `percent` of their
-    union; component_id is the least doc_id reachable, and kept says that it is the row's own. A text without words is
-    linked with nothing. A row without doc_id is linked with nothing, gets no component_id and is kept. Rows that agree
-    in id and text are one document; rows that agree in id only are judged by their texts.
+    union; component_id is the least doc_id reachable, and kept says that the row is the first document there. A text
+    without words is linked with nothing. A row without doc_id is linked with nothing, gets no component_id and is kept.
+    Rows that agree in id and text are one document; rows that agree in id only are documents of their own, in order of
+    version.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("version"), "text")
     facts = cut(docs.mapInArrow(
@@ -226,11 +224,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     ))
     filled = facts.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("first"))
-    classes = cut(classes.select("digest", F.col("first.doc_id").alias("node"), F.col("first.version").alias("version")))
+    # numbers in the order of the first documents, so that the least number is the least doc_id
+    classes = cut(classes.select("digest", "first.*").orderBy("doc_id", "version").withColumn("node", F.monotonically_increasing_id()))
     first = cut(
-        facts.join(classes.select("node", F.col("version").alias("__version")), (
-            (F.col("doc_id") == F.col("node")) & (F.col("version") == F.col("__version"))
-        )).select("node", "version", "signature", "bands").dropDuplicates(["node", "version"])
+        facts.select("doc_id", "version", "signature", "bands").join(classes.select("node", "doc_id", "version"), ["doc_id", "version"])
+        .dropDuplicates(["node"])
     )
     buckets = first.select("node", F.explode("bands").alias("key"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -241,14 +239,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     left = cut(_pairs_left(members, found, first, percent))
     if left.take(1):
         found = components(links.union(corpus.links(left)))
-    named = classes.select("digest", "node").join(found, "node", "left").select(
-        F.col("digest").alias("__digest"), F.coalesce("component", "node").alias("__component")
-    )
+    heads = classes.select(F.col("node").alias("component"), F.col("doc_id").alias("__component"), F.col("version").alias("__first"))
+    named = classes.select("digest", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(
+        heads, "component"
+    ).select(F.col("digest").alias("__digest"), "__component", "__first")
+    own = F.struct("doc_id", "version").eqNullSafe(F.struct(F.col("__component").alias("doc_id"), F.col("__first").alias("version")))
     return (
         facts.select("doc_id", "version", "n_shingles", "digest")
         .join(named, (F.col("digest") == F.col("__digest")) & F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), "left")
-        .select("doc_id", "version", "n_shingles", F.coalesce("__component", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(
+            "doc_id", "version", "n_shingles", F.coalesce("__component", "doc_id").alias("component_id"),
+            (F.col("__component").isNull() | own).alias("kept"),
+        )
     )
 
 

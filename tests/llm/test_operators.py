@@ -369,6 +369,25 @@ def test_near_duplicates(spark, small, clashing, none, percent):
     assert near_dedup.near_duplicates(none).count() == 0
 
 
+def test_texts_of_one_id_are_near_duplicates_each_on_its_own(spark):
+    base = [f"word{k}" for k in range(120)]
+    near, twin, far = " ".join(base), " ".join([*base, "more"]), " ".join(f"other{k}" for k in range(60))
+    apart = [" ".join(f"x{j}y{k}" for k in range(40)) for j in range(3)]
+    both = [" ".join(f"both{k}" for k in range(n)) for n in (60, 61)]  # near each other, under one id
+    rows = [(3, twin), (5, far), (5, near), (5, near), *[(5, t) for t in apart], (7, both[0]), (7, both[1]), (8, apart[0])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    version = versions(table)
+    told = near_dedup.near_duplicates(table).collect()
+    assert len(told) == len(rows)
+    got = {(r["doc_id"], r["version"]): (r["component_id"], r["kept"]) for r in told}
+    first = min(both, key=lambda t: version[7, t])
+    want = {(3, twin): (3, True), (5, far): (5, True), (5, near): (3, False), (8, apart[0]): (5, False)}
+    want |= {(5, t): (5, True) for t in apart} | {(7, t): (7, t == first) for t in both}
+    assert got == {(i, version[i, t]): v for (i, t), v in want.items()}
+    kept = counted(texts(near_dedup.keep_first(table)))
+    assert kept == counted(k for k, v in want.items() if v[1])
+
+
 def test_components(spark):
     draw = np.random.default_rng(1)
     links = [(int(a), int(b)) for a, b in draw.integers(0, 300, (200, 2))] + [(k, k + 1) for k in range(1000, 1040)] + [(5, 5)]
