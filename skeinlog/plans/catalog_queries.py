@@ -132,7 +132,7 @@ def _ndjson(spark, sf):
     rows = logs(spark, sf).select("event_id", "event_type", F.when(F.col("event_id") % 4 != 0, F.col("value")).alias("value"))
     lines = rows.select(F.to_json(F.struct("*")).alias("value"))
     lines.unionByName(lines.where(F.length("value") % 5 == 0).select(F.concat(F.lit("{broken "), F.col("value")).alias("value"))).write.text(path)
-    return readers.read_ndjson(spark, path, "event_id long, event_type string, value double")
+    return readers.read_ndjson(spark, path, "event_id long, event_type string, value double").drop(readers.EXTRA)
 
 
 @register("A5_write_ndjson", """SELECT CASE WHEN event_id % 2 = 0 THEN '{"event_id":' || event_id || ',"kind":"' || event_type || '"}' ELSE '{"event_id":' || event_id || '}' END AS value FROM events""")

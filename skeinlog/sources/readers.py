@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructField, StructType
 
 
 # ---- fixed values: answer shapes -------------------------------------------
@@ -12,13 +13,46 @@ MATRIX = "status string, data struct<resultType: string, result: array<struct<me
 HITS = "hits array<struct<fields: map<string,string>, timestamps: array<string>, values: array<bigint>, total: bigint>>"
 VALUES = "values array<struct<value: string, hits: bigint>>"
 FACETS = "facets array<struct<field_name: string, values: array<struct<field_value: string, hits: bigint>>>>"
+#: Column of the fields of a line that its schema does not name.
+EXTRA = "_extra"
 # ----------------------------------------------------------------------------
 
 
-def read_ndjson(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
-    """One JSON object per line; broken lines are dropped. Give a schema to spare a pass over the data."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.json(path, mode="DROPMALFORMED")
+def read_ndjson(
+    spark: SparkSession, path: str | list[str], schema: str | None = None, seen: Observation | None = None
+) -> DataFrame:
+    """One JSON object per line. Give a schema to spare a pass over the data.
+
+    With a schema, a value that does not fit its field's type is null, and only lines that hold no JSON object are
+    dropped. The map _extra keeps, as text, the fields that the schema does not name and the values that did not fit
+    (null where there are none; parts of an array or object that do not fit are null in it). An action on the result fills seen with lines and dropped, the counts of lines that are
+    not blank and of those dropped. Without a schema broken lines are dropped uncounted, and no field is lost.
+    """
+    if not schema:
+        if seen is not None:
+            raise ValueError("lines are only counted with a schema")
+        return spark.read.json(path, mode="DROPMALFORMED")
+    types = StructType.fromDDL(schema)
+    if EXTRA in types.names:
+        raise ValueError(f"{EXTRA} is the name of the map of other fields")
+    held = [F.from_json("value", "map<string,string>").alias("held"), F.from_json("value", types).alias("fit")]
+    lines = spark.read.text(path).where(F.col("value").rlike(r"\S")).select(held)
+    counts = [F.count(F.lit(1)).alias("lines"), F.count_if(F.col("held").isNull()).alias("dropped")]
+    if seen is not None:
+        lines = lines.observe(seen, *counts)
+
+    def typed(field: StructField) -> Column:
+        fit = F.col("fit").getField(field.name)
+        if isinstance(field.dataType, ArrayType | MapType | StructType):
+            return fit
+        text = F.get(F.map_values(F.map_filter("held", lambda k, _: k == field.name)), F.lit(0))
+        return F.coalesce(fit, text.try_cast(field.dataType))
+
+    known = lines.where("held IS NOT NULL").select("held", F.struct(*[typed(f).alias(f.name) for f in types]).alias("row"))
+    unfit = F.array_compact(F.array(*[F.when(F.col("row").getField(f.name).isNull(), F.lit(f.name)) for f in types]))
+    named = F.array(*[F.lit(f.name) for f in types])
+    extra = F.map_filter("held", lambda k, v: ~F.array_contains(named, k) | (F.array_contains(unfit, k) & v.isNotNull()))
+    return known.select("row.*", F.when(F.size(extra) > 0, extra).alias(EXTRA))
 
 
 def read_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:

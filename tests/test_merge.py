@@ -1,6 +1,7 @@
 """Merge cases with fixed numbers."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows_of
@@ -127,6 +128,19 @@ def test_broken_lines_are_dropped(spark, tmp_path):
     assert sorted(r["_msg"] for r in readers.read_ndjson(spark, str(tmp_path), "_msg string, n long").collect()) == ["a", "b"]
 
 
+def test_lines_lose_no_field_of_another_type_or_name(spark, tmp_path):
+    lines = ['{"_msg":"a","value":1.5}', '{"_msg":"b","value":"n/a"}', '{"_msg":"c","value":"2","app":"x","o":{"p":[1,2]}}', '{"_msg":null,"tags":["t"]}', "", "  ",
+             '{"_msg":"d","tags":"none","value":null,"z":null}', "{broken", "[1]", '"text"', "null", '{"_msg":"e"', "{}"]
+    (tmp_path / "l.json").write_text("\n".join(lines))
+    seen = Observation()
+    got = readers.read_ndjson(spark, str(tmp_path), "_msg string, value double, tags array<string>", seen).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([
+        ("a", 1.5, None, None), ("b", None, None, {"value": "n/a"}), ("c", 2.0, None, {"app": "x", "o": '{"p":[1,2]}'}),
+        (None, None, ["t"], None), ("d", None, None, {"tags": "none", "z": None}), (None, None, None, None),
+    ], key=str)
+    assert seen.get == {"lines": 11, "dropped": 5}
+
+
 def test_vector_is_text_at_the_edge(spark):
     df = spark.createDataFrame([("m", "n", 5.0, 5.0)], "metric string, name string, ts double, value double")
     assert writers.to_vector(df).select(F.get("value", F.lit(1))).first()[0] == "5"
