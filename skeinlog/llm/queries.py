@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinlog.llm import decontaminate, line_dedup, lm, near_dedup, packing, pii, quality, sharding, substring_dedup, urls
-from skeinlog.llm.common import QUERIES, SQL, cut, register, table
+from skeinlog.llm.common import QUERIES, SQL, cut, register, shared_folder, table
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -133,7 +135,14 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("op10_sharding")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
-        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    docs = table(spark, sf, "documents")
+    docs = docs.withColumn("n_bytes", sharding.row_bytes(docs))
+    path = f"{shared_folder(spark)}/skeinlog-shards-{uuid.uuid4().hex}"
+    sharding.write_shards(sharding.shard(docs, ["doc_id"], F.col("n_bytes")).select(*docs.columns, "shard"), path)
+    # what was written, not what was planned
+    schema = docs.schema.add("shard", "string")
+    rows = spark.read.schema(schema).parquet(path).select("doc_id", "n_bytes", "shard")
+    totals = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_rows"))
+    return rows.join(totals, "shard").select(
+        "doc_id", "n_bytes", "shard", (F.length("shard") - 1).alias("shard_bits"), "shard_bytes", "shard_rows"
     )
-    return sharding.shard(docs, ["doc_id"], F.col("n_bytes"))

@@ -4,6 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    ByteType,
+    DateType,
+    DecimalType,
+    FloatType,
+    IntegerType,
+    MapType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from skeinlog.llm.common import cut
 
@@ -12,6 +27,24 @@ from skeinlog.llm.common import cut
 LOOK, LOOK_ON = 12, 4
 BITS = 64
 LIMIT = 8 << 20
+#: Bytes of a value of a type; of those not named here 8, of decimals 16.
+_SIZES = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4, DecimalType: 16}
+
+
+def row_bytes(docs: DataFrame) -> F.Column:
+    """Bytes of a row over all columns: of text and binary as they are, of arrays, maps and structs as JSON, of others by
+    type. Null has none."""
+    def one(field: StructField) -> F.Column:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, StringType | BinaryType):
+            size = F.octet_length(column)
+        elif isinstance(kind, ArrayType | MapType | StructType):
+            size = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            size = F.lit(_SIZES.get(type(kind), 8))
+        return F.when(column.isNotNull(), size).otherwise(0).cast("long")
+
+    return sum((one(f) for f in docs.schema.fields), F.lit(0).cast("long"))
 
 
 def place(docs: DataFrame, keys: list[str], size: F.Column) -> DataFrame:
@@ -84,12 +117,18 @@ def shard(docs: DataFrame, keys: list[str], size: F.Column, limit: int = LIMIT)
     prefix = F.array(*[
         F.struct(F.lit(b).alias("shard_bits"), (
             F.lit(0).cast("long") if b == 0 else F.shiftrightunsigned("__place", BITS - b) if b < BITS else F.col("__place")
-        ).alias("__prefix")) for b in depths
+        ).alias("__prefix")) for b in sorted({b for b, _ in leaves})
     ])
-    rows = placed.withColumn("__at", F.explode(prefix)).select("*", "__at.shard_bits", "__at.__prefix").drop("__at")
-    named = rows.join(names, ["shard_bits", "__prefix"])
-    totals = named.groupBy("shard").agg(F.sum("__size").alias("shard_bytes"), F.count("*").alias("shard_rows"))
-    return named.join(totals, "shard").drop("__prefix", "__place", "__size")
+
+    def at(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__at", F.explode(prefix)).select("*", "__at.shard_bits", "__at.__prefix").drop("__at", "__place")
+
+    totals = at(placed.select("__size", "__place")).groupBy("shard_bits", "__prefix").agg(
+        F.sum("__size").alias("shard_bytes"), F.count("*").alias("shard_rows")
+    )
+    # written, so that its size is known and the rows need not move to meet it
+    held = cut(names.join(totals, ["shard_bits", "__prefix"]))
+    return at(placed).join(held, ["shard_bits", "__prefix"]).drop("__prefix", "__size")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
