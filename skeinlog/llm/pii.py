@@ -8,19 +8,22 @@ must contain such a character and pass the same test as its kind's patterns, sho
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from skeinlog.llm import tagger
+from skeinlog.llm.common import cut
 from skeinlog.llm.tokens import slices
 
 KINDS = ["email", "ip", "card", "phone"]
-#: Windows from which the tagger learns, at most; taken by hash from the whole corpus.
+#: Windows from which the tagger learns, at most; different ones, of each kind an equal part, taken by hash from
+#: the whole corpus.
 SAMPLE = 1200
 WINDOW, STRIDE, AROUND = 64, 32, 24
 
@@ -113,30 +116,57 @@ def _tags(spans: list[tuple[int, int, int]], a: int, b: int) -> np.ndarray:
     return out
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows with their tags: one for each span of a text, and one for each stretch without."""
-    for batch in batches:
-        out: tuple[list, list, list] = ([], [], [])
-        for text in batch.column("text"):
-            text = text.as_py() or ""
-            spans = base_spans(text)
-            at = [(s[0] + s[1]) // 2 for s in spans]
-            if _ANY.search(text):
-                at += [(a + b) // 2 for a, b in _stretches(text, spans)]
-            for middle in at:
-                a = max(0, middle - WINDOW // 2)
-                b = min(len(text), a + WINDOW)
-                order = int.from_bytes(hashlib.blake2b(f"{middle}:{text[a:b]}".encode(), digest_size=8).digest(), "little", signed=True)
-                for x, v in zip(out, (order, tagger.codes(text[a:b]).astype(np.uint8).tobytes(), _tags(spans, a, b).astype(np.uint8).tobytes()), strict=True):
-                    x.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], ["place", "chars", "tags"])
+def _examples(sample: int):
+    """Windows with their tags and kind: one for each span of a text, and one for each stretch without, of the kind of a
+    span that it touches or else of kind len(KINDS). Equal windows have one place. Of each kind a task puts out the `sample` of least place."""
+    def least(some: set) -> set:
+        return set(heapq.nsmallest(sample, some))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[set] = [set() for _ in range(len(KINDS) + 1)]
+        for batch in batches:
+            for text in batch.column("text"):
+                text = text.as_py() or ""
+                spans = base_spans(text)
+                at = [((s[0] + s[1]) // 2, s[2]) for s in spans]
+                if _ANY.search(text):
+                    at += [((a + b) // 2, len(KINDS)) for a, b in _stretches(text, spans)]
+                for middle, kind in at:
+                    a = max(0, middle - WINDOW // 2)
+                    b = min(len(text), a + WINDOW)
+                    chars, tags = (x.astype(np.uint8).tobytes() for x in (tagger.codes(text[a:b]), _tags(spans, a, b)))
+                    if kind == len(KINDS) and any(tags):
+                        kind = (next(t for t in tags if t) - 1) // 2
+                    place = int.from_bytes(hashlib.blake2b(chars + tags, digest_size=8).digest(), "little", signed=True)
+                    held[kind].add((place, chars, tags))
+                    if len(held[kind]) > 4 * sample:
+                        held[kind] = least(held[kind])
+        found = [(k, *x) for k, some in enumerate(held) for x in least(some)]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate(kinds)], ["kind", "place", "chars", "tags"])
+
+    return rows
+
+
+def examples(docs: DataFrame, sample: int) -> list[Row]:
+    """At most `sample` different windows: of each kind, and of those without a span, an equal part if there are so many,
+    and the rest by place."""
+    found = cut(docs.where(F.col("text").rlike("[0-9@+]")).select("text").mapInArrow(
+        _examples(sample), "kind long, place long, chars binary, tags binary"
+    ).distinct())
+    kinds = range(len(KINDS) + 1)
+    by_kind = [found.where(F.col("kind") == k).orderBy("place", "chars", "tags").limit(sample).collect() for k in kinds]
+    share = sample // len(kinds)
+    rows = {(r["place"], r["chars"], r["tags"]): r for some in by_kind for r in some[:share]}
+    for r in sorted((r for some in by_kind for r in some[share:]), key=lambda r: (r["place"], r["chars"], r["tags"])):
+        if len(rows) < sample:
+            rows.setdefault((r["place"], r["chars"], r["tags"]), r)
+    return [rows[k] for k in sorted(rows)]
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tagger.Tagger | None:
     """A tagger from at most `sample` windows of the corpus, with digits drawn anew so that it learns forms."""
-    rows = docs.where(F.col("text").rlike("[0-9@+]")).select("text").mapInArrow(
-        _examples, "place long, chars binary, tags binary"
-    ).orderBy("place", "chars", "tags").limit(sample).collect()
+    rows = examples(docs, sample)
     if not rows:
         return None
     chars, tags = np.full((len(rows), WINDOW), tagger.CODES - 1), np.zeros((len(rows), WINDOW), np.int64)

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -109,6 +110,18 @@ def test_pii(clashing, none):
     assert masked.startswith("<email>@d.e call <phone> or <card> at <ip>") and "4111" not in masked
 
 
+def test_examples_hold_every_kind_beside_thousands_of_copies(spark):
+    copy = [f"text {k} of many copies, call +1 555 123 {4567 + k} now" for k in range(40)]
+    few = ["mail some.one@example.org today", "card 4111 1111 1111 1111 paid", "host 10.20.30.40 is up", "room 12 has 3 chairs"]
+    rows = [(t,) for t in copy * 50 + few]
+    found = pii.examples(spark.createDataFrame(rows, "text string").repartition(4), 20)
+    windows = [(bytes(r["chars"]), bytes(r["tags"])) for r in found]
+    assert len(windows) == len(set(windows)) == 20
+    begun = {t for _, tags in windows for t in tags if t % 2}
+    assert begun == {1 + 2 * k for k in range(len(pii.KINDS))}
+    assert any(not any(tags) for _, tags in windows)
+
+
 def test_tagger_learns_held_out_spans():
     draw = np.random.default_rng(3)
     chars, tags = draw.integers(65, 91, (400, 24)), np.zeros((400, 24), np.int64)
@@ -469,3 +482,24 @@ def test_sharding(small, clashing, none, limit):
     names = sorted(held)
     assert not any(b.startswith(a) for a, b in zip(names, names[1:], strict=False))
     assert sharding.shard(none, ["doc_id"], F.octet_length("text"), limit).count() == 0
+
+
+def test_sharding_query_writes_whole_rows(spark, sf):
+    from skeinlog.llm import queries
+    from skeinlog.llm.common import shared_folder
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    root = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    rows = queries.op10(spark, sf).collect()
+    (name,) = [x for x in set(os.listdir(root)) - before if x.startswith("skeinlog-shards-")]
+    written = spark.read.parquet(f"{root}/{name}")
+    assert counted(map(tuple, written.select(*docs.columns).collect())) == counted(map(tuple, docs.collect()))
+    want = {
+        r["doc_id"]: sum(len(x.encode()) if isinstance(x, str) else 8 for x in r if x is not None) for r in docs.collect()
+    }
+    assert {r["doc_id"]: r["n_bytes"] for r in rows} == want
+    held = collections.Counter()
+    for r in rows:
+        held[r["shard"]] += r["n_bytes"]
+    assert all(r["shard_bytes"] == held[r["shard"]] <= sharding.LIMIT or r["shard_rows"] == 1 for r in rows)
