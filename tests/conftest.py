@@ -45,7 +45,3 @@ def tiny_groups(spark):
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)

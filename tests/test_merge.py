@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from rows import rows_of
 from skeinlog.functions import aggs as a
 from skeinlog.operators import merge, order
 from skeinlog.operators.stats import partial_stats, stats

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from rows import rows_of
 from skeinlog.functions import aggs as a
 from skeinlog.functions import filters as f
 from skeinlog.operators import combine, order, windows
