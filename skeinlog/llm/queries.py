@@ -7,7 +7,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinlog.llm import decontaminate, line_dedup, lm, near_dedup, packing, pii, quality, sharding, substring_dedup, urls
+from skeinlog.llm import (
+    decontaminate,
+    lexical,
+    line_dedup,
+    lm,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    sharding,
+    substring_dedup,
+    urls,
+    whitening,
+)
 from skeinlog.llm.common import QUERIES, SQL, cut, register, shared_folder, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -146,3 +159,33 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(totals, "shard").select(
         "doc_id", "n_bytes", "shard", (F.length("shard") - 1).alias("shard_bits"), "shard_bytes", "shard_rows"
     )
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+_OP11 = """WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '{W}') AS t FROM documents),
+tf AS (SELECT doc_id, len(t)::BIGINT AS n, x, count(*) AS tf FROM (SELECT doc_id, t, unnest(t) AS x FROM d) GROUP BY ALL),
+al AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM d WHERE len(t) > 0),
+df AS (SELECT x, count(*) AS df FROM tf GROUP BY x),
+w AS (SELECT x, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, al),
+q AS (SELECT item_id, x, count(*) AS r FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, '{U}', '{L}'), '{W}')) AS x
+ FROM benchmark) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+ FROM q JOIN w USING (x) JOIN tf USING (x), al GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""".format(U=urls.UPPER, L=urls.LOWER, W=_TERM)
+
+
+@register("op11_lexical_search", _OP11)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    docs, items = table(spark, sf, "documents", "doc_id", "text"), table(spark, sf, "benchmark", "item_id", "text")
+    return lexical.search(docs, items)
+
+
+@register("op12_whitening")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    out = whitening.whiten(table(spark, sf, "embeddings", "vec_id", "embedding"))
+    return out.select(
+        F.col("row.vec_id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened",
+        "explained", "identity_error",
+    )
