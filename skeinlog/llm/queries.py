@@ -13,6 +13,7 @@ from skeinlog.llm import (
     line_dedup,
     lm,
     near_dedup,
+    ngram_join,
     packing,
     pii,
     quality,
@@ -189,3 +190,20 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
         F.col("row.vec_id").alias("vec_id"), "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened",
         "explained", "identity_error",
     )
+
+
+_LINKED = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{U}', '{L}'), '[^\\x20\\x09-\\x0D]+') AS t
+ FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(t) = 0 THEN [] WHEN len(t) < {K} THEN [array_to_string(t, ' ')]
+ ELSE [array_to_string(t[i:i + {K} - 1], ' ') for i in range(1, len(t) - {K} + 2)] END) AS g FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {P} * (x.n + y.n - c)),
+r (d, k) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.d, l.b FROM r JOIN l ON r.k = l.a)
+SELECT d AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(k) AS component_id{MORE}
+FROM r LEFT JOIN n ON n.doc_id = d GROUP BY d"""
+
+
+@register("op13_ngram_join", _LINKED.format(U=urls.UPPER, L=urls.LOWER, K=3, P=90, MORE=""))
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.join_components(table(spark, sf, "documents", "doc_id", "text"), 90)
