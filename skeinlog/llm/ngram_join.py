@@ -5,7 +5,8 @@ into one segment a fragment. Pairs to look at come from the rare end: two linked
 few of each. For such a pair every fragment counts the overlap of two short segments on its own; the sum over fragments is
 the whole overlap, and decides.
 
-Equal sets are one node from the start. Links serve to join documents, so a bucket of many like documents is not paired
+Before that, a fixed part of all n-grams sieves the documents: one that holds more n-grams there that no other has than it
+may miss in all is linked with nothing. Equal sets are one node from then on. Links serve to join documents, so a bucket of many like documents is not paired
 out: its members meet one middle member first, and only those that this leaves apart meet the others.
 """
 
@@ -20,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skeinlog.llm.common import cut, doc_key, reachable
+from skeinlog.llm.common import cut, reachable, with_versions
 from skeinlog.llm.components import components
+from skeinlog.llm.decontaminate import fingerprint_filter
 from skeinlog.llm.near_dedup import shingle_sets
 from skeinlog.llm.tokens import SPACE, slices, words
 
@@ -32,23 +34,66 @@ OCTAVE, PART_BITS = 4, 6
 #: N-grams that hold this share of all rows, and at least so many, are met by a broadcast of them instead of a shuffle:
 #: there are at most 2^HOT_BITS of them.
 HOT_BITS, HOT_LEAST = 17, 1000
+#: The sieve holds one in so many n-grams, by hash. Documents that it leaves are asked for by a filter of 2^FILTER_BITS
+#: bits; with more documents than it can hold apart, more of them go on, and none is missed.
+SIEVE, FILTER_BITS = 4, 27
 #: Members of a bucket that are compared at once.
 BLOCK = 256
 
 
-def _set_rows(size: int):
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for part in slices(batch):
+                yield part, list(shingle_sets(words(part.column("text"), SPACE, lower=True), size))
+
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+    grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(grams.view(np.int64)))
+
+
+def _facts(size: int):
+    """Size and digest of each document's set."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in _sets(batches, size):
+            digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays([
+                *(part.column(c) for c in ("doc_id", "doc", "version")), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
+            ], ["doc_id", "doc", "version", "n", "digest"])
+
+    return rows
+
+
+def _sieved(size: int, percent: int):
+    """The n-grams of the sieve, each with its document and how many n-grams that may miss."""
+    top = np.uint64((1 << 64) // SIEVE - 1)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
-            for batch in batches:
-                for part in slices(batch):
-                    sets = list(shingle_sets(words(part.column("text"), SPACE, lower=True), size))
-                    digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-                    grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                    yield pa.RecordBatch.from_arrays([
-                        part.column("doc_id"), part.column("version"), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(digest, pa.binary()), pa.ListArray.from_arrays(bounds, pa.array(grams.view(np.int64))),
-                    ], ["doc_id", "version", "n", "digest", "grams"])
+        for part, sets in _sets(batches, size):
+            low = [s[: np.searchsorted(s, top, side="right")] for s in sets]
+            take = pa.array(np.repeat(np.arange(len(low)), [len(s) for s in low]))
+            spare = pa.array([len(s) - -(-percent * len(s) // 100) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc").take(take), part.column("version").take(take), spare.take(take), _lists(low).flatten(),
+            ], ["doc", "version", "spare", "gram"])
+
+    return rows
+
+
+def _asked_sets(size: int, filter_: np.ndarray):
+    """The sets of documents whose key the filter lets through."""
+    mask = np.uint64((1 << FILTER_BITS) - 1)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.asarray(batch.column("key")).view(np.uint64) & mask
+            hit = (filter_[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            for part, sets in _sets(iter([batch.filter(pa.array(hit))]), size):
+                digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                out = pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(digest, pa.binary()), _lists(sets)], ["doc_id", "digest", "grams"])
+                yield out.filter(pa.array([len(s) > 0 for s in sets], pa.bool_()))
 
     return rows
 
@@ -214,6 +259,18 @@ def linked(nodes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFr
     return found
 
 
+def _key() -> Column:
+    return F.xxhash64("doc", "version")
+
+
+def _unsieved(docs: DataFrame, facts: DataFrame, percent: int, size: int) -> DataFrame:
+    """Documents (doc, version) that the sieve leaves. An n-gram of one document counts there and goes nowhere else."""
+    rows = docs.select("doc", "version", "text").mapInArrow(_sieved(size, percent), "doc long, version long, spare long, gram long")
+    alone = rows.groupBy("gram").agg(F.min(F.struct("doc", "version", "spare")).alias("of"), F.count(F.lit(1)).alias("times")).where("times = 1")
+    lost = alone.groupBy("of").agg(F.count(F.lit(1)).alias("alone")).where("alone > of.spare").select("of.doc", "of.version")
+    return facts.select("doc", "version").join(lost, ["doc", "version"], "left_anti")
+
+
 def join_components(docs: DataFrame, percent: int = 90, size: int = SIZE, fragments: int = FRAGMENTS) -> DataFrame:
     """For each row of docs (doc_id long, text): doc_id, n_shingles, component_id.
 
@@ -224,22 +281,24 @@ def join_components(docs: DataFrame, percent: int = 90, size: int = SIZE, fragme
     columns may have any name; an empty table gives no rows. N-grams are told apart by 64-bit hashes.
     """
     reachable(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), doc_key().alias("version"), "text")
-    facts = cut(docs.mapInArrow(_set_rows(size), "doc_id long, version long, n long, digest binary, grams array<long>"))
-    filled = facts.where("doc_id IS NOT NULL AND n > 0")
-    classes = filled.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("first"))
-    # numbers in the order of the first documents, so that the least number is the least doc_id
-    classes = cut(classes.select("digest", "first.*").orderBy("doc_id", "version").withColumn("node", F.monotonically_increasing_id()))
+    docs = with_versions(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    facts = cut(docs.mapInArrow(_facts(size), "doc_id long, doc long, version long, n long, digest binary"))
+    named = docs.where("doc_id IS NOT NULL")
+    kept = _unsieved(named, facts.where("doc_id IS NOT NULL AND n > 0"), percent, size)
+    filter_ = fingerprint_filter(kept.select(_key().alias("hash")), FILTER_BITS)
+    sets = named.select("doc_id", "text", _key().alias("key")).mapInArrow(
+        _asked_sets(size, filter_), "doc_id long, digest binary, grams array<long>"
+    )
     nodes = cut(
-        facts.join(classes.select("node", "doc_id", "version"), ["doc_id", "version"]).dropDuplicates(["node"]).select("node", "n", "grams")
+        sets.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("grams").alias("grams"))
+        .select("digest", "doc_id", F.size("grams").cast("long").alias("n"), "grams", F.monotonically_increasing_id().alias("node"))
     )
-    found = linked(nodes, percent, fragments)
-    heads = classes.select(F.col("node").alias("component"), F.col("doc_id").alias("__component"))
-    named = classes.select("digest", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(
-        heads, "component"
-    ).select(F.col("digest").alias("__digest"), "__component")
+    found = linked(nodes.select("node", "n", "grams"), percent, fragments)
+    heads = nodes.select("digest", "doc_id", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = heads.groupBy("component").agg(F.min("doc_id").alias("__least"))
+    named = heads.join(least, "component").select(F.col("digest").alias("__digest"), "__least")
     return (
         facts.select("doc_id", "n", "digest")
         .join(named, (F.col("digest") == F.col("__digest")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("__component", "doc_id").alias("component_id"))
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("__least", "doc_id").alias("component_id"))
     )
