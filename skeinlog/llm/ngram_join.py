@@ -118,11 +118,11 @@ def fragment_of(held: DataFrame, fragments: int) -> Column:
 
 
 def segments(nodes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFrame:
-    """Rows (node, size, fragment, before, room, grams) of nodes (node, n, grams), written once.
+    """Rows (node, size, alone, fragment, before, room, grams) of nodes (node, n, grams), written once.
 
-    grams: the node's n-grams in the fragment that other nodes hold too, in global order; before: how many it has in earlier
-    fragments; room: how many of all of them, from the first, another node must meet. Nodes too many of whose n-grams are
-    theirs alone are left out: they are linked with nothing.
+    alone: how many n-grams no other node has; they are a fragment of their own in which no pair overlaps. grams: the node's
+    other n-grams in this fragment, in global order; before: how many it has in earlier fragments; room: how many of all of
+    them, from the first, another node must meet. Nodes with too many alone are left out: they are linked with nothing.
     """
     rows = nodes.select("node", F.explode("grams").alias("gram"))
     weights = cut(rows.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
@@ -148,7 +148,7 @@ def segments(nodes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> Data
     size = F.col("n")
     return cut(
         held.join(nodes.select("node", "n"), "node").withColumn("room", F.col("shared") - _need(size, percent) + 1)
-        .where("room > 0").select("node", size.alias("size"), "fragment", "before", "room", "grams")
+        .where("room > 0").select("node", size.alias("size"), (size - F.col("shared")).alias("alone"), "fragment", "before", "room", "grams")
     )
 
 
@@ -166,8 +166,10 @@ def _links(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return cut(overlaps(pairs, parts).where(100 * F.col("both") >= percent * (F.col("s_a") + F.col("s_b") - F.col("both"))).select("a", "b"))
 
 
-def _near_in_size(x: str, y: str, percent: int) -> Column:
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+def _may_be_linked(x: tuple[str, str], y: tuple[str, str], percent: int) -> Column:
+    """Whether sets (size, alone) can share enough: no more than each has besides what it has alone."""
+    (s, a), (t, b) = ((F.col(i), F.col(j)) for i, j in (x, y))
+    return (100 + percent) * F.least(s - a, t - b) >= percent * (s + t)
 
 
 def _pairs_with_hubs(members: DataFrame, percent: int) -> DataFrame:
@@ -176,24 +178,26 @@ def _pairs_with_hubs(members: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("size")) / math.log(100 / percent)).cast("int") if percent < 100 else F.col("size")
     weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
     at = members.withColumn("band", band)
-    hubs = at.join(weight, "node").groupBy("key", "band").agg(F.max(F.struct("weight", -F.col("node"), "size")).alias("best"))
+    hubs = at.join(weight, "node").groupBy("key", "band").agg(F.max(F.struct("weight", -F.col("node"), "size", "alone")).alias("best"))
     hubs = hubs.select(
-        "key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), (-F.col("best.col2")).alias("hub"), F.col("best.size").alias("h_size")
+        "key", F.explode(F.array("band", F.col("band") + 1)).alias("band"), (-F.col("best.col2")).alias("hub"), F.col("best.size").alias("h_size"),
+        F.col("best.alone").alias("h_alone"),
     )
-    return at.join(hubs, ["key", "band"]).where(F.col("node") != F.col("hub")).where(_near_in_size("size", "h_size", percent)).select(
+    return at.join(hubs, ["key", "band"]).where(F.col("node") != F.col("hub")).where(_may_be_linked(("size", "alone"), ("h_size", "h_alone"), percent)).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")
     ).distinct()
 
 
-def _block_pairs(percent: int):
+def _block_pairs(percent: int, best: bool):
     """Pairs of two blocks of one bucket that lie in different components and may be linked by what their segments of the
-    bucket's fragment share; each pair in the bucket of the first n-gram that they share there."""
+    bucket's fragment share; each pair in the bucket of the first n-gram that they share there. With best, of a node's
+    partners in one component only the one that shares most."""
 
     def side(v: pa.Scalar):
         rows = v.values
         grams = rows.field("grams")
         return (
-            *(np.asarray(rows.field(c)).astype(np.int64) for c in ("node", "component", "size")),
+            *(np.asarray(rows.field(c)).astype(np.int64) for c in ("node", "component", "size", "lost")),
             np.asarray(grams.flatten()), np.asarray(grams.value_lengths()).astype(np.int64),
         )
 
@@ -202,19 +206,23 @@ def _block_pairs(percent: int):
             out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             keys, mains = batch.column("key").to_pylist(), batch.column("main").to_pylist()
             for key, main, x, y in zip(keys, mains, batch.column("few"), batch.column("many"), strict=True):
-                (n, c, s, g, k), (m, d, t, h, l) = side(x), side(y)
+                (n, c, s, u, g, k), (m, d, t, v, h, l) = side(x), side(y)
                 ends, owner = np.cumsum(k), np.repeat(np.arange(len(m)), l)
                 for i in range(len(n)):
                     hit = np.flatnonzero(np.isin(h, g[ends[i] - k[i] : ends[i]]))
                     both = np.bincount(owner[hit], minlength=len(m))
                     first = np.zeros(len(m), np.int64)
                     first[owner[hit][::-1]] = h[hit][::-1]
-                    # sets of sizes s and t that are linked share at least this, so leave out no more than the rest
+                    # linked sets share at least this. What either has alone, in earlier fragments (a pair that shares some
+                    # of that is met in a bucket there) or leaves out in this fragment is lost to it.
                     share = -(-percent * (s[i] + t) // (100 + percent))
-                    out = k[i] - both <= s[i] - share
-                    out &= (l - both <= t - share) & (share <= np.minimum(s[i], t))
+                    out = (u[i] + k[i] - both <= s[i] - share) & (v + l - both <= t - share)
                     # two that are both outside the largest component meet twice: once is enough
                     out &= (first == key) & (d != c[i]) & ((d == main) | (m > n[i]))
+                    out = np.flatnonzero(out)
+                    if best and len(out) > 1:
+                        out = out[np.lexsort((m[out], -both[out], d[out]))]
+                        out = out[np.diff(d[out], prepend=-1) != 0]
                     out_a.append(np.minimum(m[out], n[i]))
                     out_b.append(np.maximum(m[out], n[i]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], ["a", "b"])
@@ -222,23 +230,23 @@ def _block_pairs(percent: int):
     return rows
 
 
-def _pairs_left(members: DataFrame, found: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+def _pairs_left(members: DataFrame, found: DataFrame, parts: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs across components that may be linked, from buckets that the links so far leave in more than one."""
     at = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = at.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     split = sizes.groupBy("key").agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").select("key", F.col("main.component").alias("main"), "all")
-    rows = at.select("key", "node", "component", "size", "fragment").join(split, "key").join(
+    rows = at.select("key", "node", "component", "size", "lost", "fragment").join(split, "key").join(
         parts.select("node", "fragment", "grams"), ["node", "fragment"]
     )
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / BLOCK).cast("long"))
-    held = F.collect_list(F.struct("node", "component", "size", "grams"))
+    held = F.collect_list(F.struct("node", "component", "size", "lost", "grams"))
     rows = rows.withColumn("block", block)
     few = rows.where("component != main").groupBy("key", "block").agg(held.alias("few"), F.first("main").alias("main"))
     many = rows.groupBy("key", "block").agg(held.alias("many"))
     return few.select("key", "few", "main").join(many.select("key", "many"), "key").mapInArrow(
-        _block_pairs(percent), "a long, b long"
+        _block_pairs(percent, best), "a long, b long"
     ).distinct()
 
 
@@ -247,15 +255,19 @@ def linked(nodes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFr
     whose grams share at least `percent` of their union; only of nodes that have a link."""
     parts = segments(nodes, percent, fragments)
     early = parts.where("before < room").select(
-        "node", "size", "fragment", F.explode(F.slice("grams", F.lit(1), (F.col("room") - F.col("before")).cast("int"))).alias("key")
+        "node", "size", "alone", (F.col("alone") + F.col("before")).alias("lost"), "fragment", F.explode(F.slice("grams", F.lit(1), (F.col("room") - F.col("before")).cast("int"))).alias("key")
     )
     shared = early.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut(early.join(shared, "key"))
     links = _links(_pairs_with_hubs(members, percent), parts, percent)
     found = components(links)
-    left = cut(_pairs_left(members, found, parts, percent))
-    if left.take(1):
-        found = components(links.union(_links(left, parts, percent)))
+    # the likeliest partner in each component first: where it joins a node to a cloud, the cloud's others need no look
+    for best in (True, False):
+        left = cut(_pairs_left(members, found, parts, percent, best))
+        if not left.take(1):
+            break
+        links = links.union(_links(left, parts, percent))
+        found = components(links)
     return found
 
 
