@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeinlog.functions.coerce import num
-from skeinlog.model import attach, col, dtype, expand, field_name, is_numeric, is_text, ordering, out, quoted, sort_key, val
-from skeinlog.operators.slices import Key, Running, positioned, running
+from skeinlog.functions.selection import quantiles
+from skeinlog.model import col, dtype, expand, field_name, is_numeric, is_text, ordering, out, quoted, sort_key, val
+from skeinlog.operators.slices import Key, positioned
 
 # The strategy by which partial results of clusters are merged.
 STRATEGIES = {
@@ -53,6 +54,7 @@ class Stat:
     table: Callable[[DataFrame, Sequence[str], str], DataFrame] | None = None
     cond: Column | None = None
     empty: object = None
+    ranked: tuple[float, tuple] | None = None
     per_step: Callable[[float], Stat] | None = None
 
     def if_(self, cond: Column) -> Stat:
@@ -72,6 +74,8 @@ class Stat:
         return self.direct(df, wrap)
 
     def frame(self, df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
+        if self.ranked:
+            return ranked_frame(df, by, {name: self})
         return self.table(df if self.cond is None else df.where(self.cond), by, name)
 
 
@@ -303,23 +307,21 @@ def _long(df: DataFrame, by: Sequence[str], columns: Sequence[Column]) -> DataFr
 def quantile(phi: float, *fields) -> Stat:
     """Exact quantile, always a value that occurs.
 
-    Values are counted first; the counts are summed up in value order, so the
-    state of a task never holds the values of a group.
+    Ranges of values are counted and narrowed, together for all quantiles of a
+    query, so the state of a task never holds the values of a group.
     """
     if not 0 <= phi <= 1:
         raise ValueError("phi must lie between 0 and 1")
+    return Stat("quantile", ranked=(phi, fields))
 
-    def build(df, by, name):
-        keys = [F.col(quoted(b)) for b in by]
-        values = _long(df, by, _numbers(df, fields))
-        counts = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
-        below = running(counts, by, [Key(F.col("__v"))], {"__upto": Running("sum", F.col("__n"))})
-        totals = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("__all"))
-        ranked = attach(below, totals, by)
-        target = F.greatest(F.ceil(F.lit(float(phi)) * F.col("__all")), F.lit(1))
-        return ranked.where(F.col("__upto") >= target).groupBy(*keys).agg(F.min("__v").alias(name))
-
-    return Stat("quantile", table=build)
+
+def ranked_frame(df: DataFrame, by: Sequence[str], stats: dict[str, Stat]) -> DataFrame:
+    """The quantiles among the functions of a query, in one table."""
+    asked = {}
+    for name, s in stats.items():
+        columns = _numbers(df, s.ranked[1])
+        asked[name] = (s.ranked[0], columns if s.cond is None else [F.when(s.cond, c) for c in columns])
+    return quantiles(df, by, asked)
 
 
 def median(*fields) -> Stat:

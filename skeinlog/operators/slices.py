@@ -4,10 +4,15 @@ A window over a group runs in one task. That is right for ordinary groups and
 impossible for a group that holds a large share of all rows (or for no grouping
 at all). The helpers here measure the groups first, which is one scan of the
 key columns. Ordinary groups take a plain window. If a group is larger than
-``spark.skeinlog.maxGroupRows``, the rows are cut into slices of similar size
-along (group, order), a window runs inside every slice, and what each slice must
-add from the slices before it is joined back. A slice continues at most one
-group of an earlier slice, so that carried table has at most one row per slice.
+``spark.skeinlog.maxGroupRows`` or ``maxGroupBytes`` allow, one sample of narrow
+rows (group, order) gives splitters, and each row finds its slice by a search
+among them. Slices depend on the row alone, so nothing wide is stored: a window
+runs inside every slice after one shuffle, and what a slice must add from the
+others comes from narrow sums. A slice continues at most one group of an earlier
+slice, so the carried table has at most one row per slice and direction.
+
+Equal order values cannot be split this way. Where many rows share one, rows are
+stored with a number that tells them apart.
 """
 
 from __future__ import annotations
@@ -23,8 +28,13 @@ from skeinlog.model import attach, col, quoted
 
 MAX_GROUP_ROWS = "spark.skeinlog.maxGroupRows"
 SLICE_ROWS = "spark.skeinlog.sliceRows"
-_DEFAULT_ROWS = 5_000_000
+MAX_GROUP_BYTES = "spark.skeinlog.maxGroupBytes"
+_DEFAULTS = {MAX_GROUP_ROWS: 5_000_000, SLICE_ROWS: 5_000_000, MAX_GROUP_BYTES: 2 << 30}
 _MAX_SLICES = 20_000
+# Sampled rows for each slice, and how much larger than planned a slice may come out.
+SAMPLED, MOST_TIMES = 40, 4
+# Rows that tell the width of a row, and the width that no row is taken to exceed without a look.
+WIDTH_ROWS, WIDEST = 1000, 4096
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -56,6 +66,7 @@ def durable(df: DataFrame) -> DataFrame:
 class Sizes:
     rows: int
     largest: int
+    width: int = 0
 
 
 def group_sizes(df: DataFrame, by: Sequence[str]) -> Sizes:
@@ -65,14 +76,29 @@ def group_sizes(df: DataFrame, by: Sequence[str]) -> Sizes:
     return Sizes(total, largest)
 
 
+def row_width(df: DataFrame) -> int:
+    """Bytes of a row as text, by the first rows: an estimate for the number of rows that a task may hold."""
+    text = F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns]))
+    return int(df.limit(WIDTH_ROWS).agg(F.coalesce(F.avg(F.octet_length(text)), F.lit(0.0))).first()[0]) + 16
+
+
+def _content(df: DataFrame) -> Column:
+    """Hash of what a row holds in columns that can be hashed."""
+    known = [f.name for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.xxhash64(*[F.col(quoted(c)) for c in known]) if known else F.lit(0).cast("bigint")
+
+
 def _setting(df: DataFrame, name: str) -> int:
-    return int(df.sparkSession.conf.get(name, str(_DEFAULT_ROWS)))
+    return int(df.sparkSession.conf.get(name, str(_DEFAULTS[name])))
 
 
 def is_hot(df: DataFrame, by: Sequence[str]) -> Sizes | None:
-    """Sizes if some group is too large for one task, else None."""
+    """Sizes if some group is too large for one task, by rows or by bytes, else None."""
     sizes = group_sizes(df, by)
-    return sizes if sizes.largest > _setting(df, MAX_GROUP_ROWS) else None
+    most = _setting(df, MAX_GROUP_BYTES)
+    if sizes.largest > _setting(df, MAX_GROUP_ROWS) or sizes.largest * WIDEST > most:
+        sizes = Sizes(sizes.rows, sizes.largest, row_width(df))
+    return sizes if sizes.largest > _setting(df, MAX_GROUP_ROWS) or sizes.largest * sizes.width > most else None
 
 
 @dataclass(frozen=True)
@@ -86,13 +112,21 @@ class Key:
     def column(self) -> Column:
         return self.expr.desc_nulls_last() if self.desc else self.expr.asc_nulls_first()
 
+    def before(self, a: Column, b: Column) -> Column:
+        """Whether value a comes before value b; never null."""
+        if self.desc:
+            return F.coalesce(a > b, a.isNotNull() & b.isNull())
+        return F.coalesce(a < b, a.isNull() & b.isNotNull())
+
 
 @dataclass(frozen=True)
 class Running:
-    """A running value: ``kind`` is sum, count, min or max of ``expr`` from the start to the current row."""
+    """A running value: ``kind`` is sum, count, min or max of ``expr`` from the start to the current row, or with
+    ``ahead`` from the current row to the end."""
 
     kind: str
     expr: Column
+    ahead: bool = False
 
     def over_rows(self) -> Column:
         return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[self.kind](self.expr)
@@ -107,6 +141,96 @@ class Running:
             return F.greatest(carried, here)
         return F.when(carried.isNull(), here).when(here.isNull(), carried).otherwise(carried + here)
 
+    def window(self, keys: Sequence, ordered: Sequence[Column]):
+        w = Window.partitionBy(*keys).orderBy(*ordered)
+        return w.rowsBetween(0, Window.unboundedFollowing) if self.ahead else w.rowsBetween(Window.unboundedPreceding, 0)
+
+
+class Slices:
+    """The rows of a table with their slice, cut along (group, order)."""
+
+    def __init__(self, df: DataFrame, by: Sequence[str], order: Sequence[Key], sizes: Sizes) -> None:
+        self.by, self.keys = list(by), [quoted(b) for b in by]
+        rows = _setting(df, SLICE_ROWS)
+        if sizes.width:
+            rows = min(rows, max(1, _setting(df, MAX_GROUP_BYTES) // sizes.width))
+        self.count = max(2, min(_MAX_SLICES, -(-sizes.rows // rows)))
+        # rows that the order leaves equal go by their content, so that every pass sees them alike
+        order = [*order, Key(_content(df))]
+        placed = df.withColumns({f"__o{i}": k.expr for i, k in enumerate(order)})
+        self.order = [Key(F.col(f"__o{i}"), k.desc) for i, k in enumerate(order)]
+        self.helpers = [_SLICE, *[f"__o{i}" for i in range(len(order))]]
+        self.rows = self._searched(placed, sizes)
+        # equal order values cannot be told apart: where a slice holds too many of them, rows get a stored number
+        if self.largest() > MOST_TIMES * -(-sizes.rows // self.count):
+            self.rows = self._numbered(placed)
+        self.within = [k.column for k in self.order]
+
+    def _searched(self, placed: DataFrame, sizes: Sizes) -> DataFrame:
+        """Slices by splitters: the sample goes to one row of at most SAMPLED times as many narrow values as slices."""
+        parts = [Key(F.col(k)) for k in self.keys] + self.order
+        names = [f"k{i}" for i in range(len(parts))]
+        here = F.struct(*[p.expr.alias(n) for p, n in zip(parts, names)])
+
+        def before(a: Column, b: Column) -> Column:
+            out = F.lit(False)
+            for p, n in reversed(list(zip(parts, names))):
+                out = p.before(a[n], b[n]) | (a[n].eqNullSafe(b[n]) & out)
+            return out
+
+        share = min(1.0, SAMPLED * self.count / max(sizes.rows, 1))
+        some = placed.select(here.alias("at")).sample(False, share, seed=7) if share < 1 else placed.select(here.alias("at"))
+        line = F.array_sort(F.collect_list("at"), lambda a, b: F.when(before(a, b), -1).when(before(b, a), 1).otherwise(0))
+        step = F.greatest(F.ceil(F.size("all") / self.count), F.lit(1)).cast("int")
+        picks = F.filter("all", lambda _, i: (i > 0) & (i % step == 0))
+        splitters = durable(some.agg(line.alias("all")).select(F.array_distinct(picks).alias("splitters")))
+        held = F.col("__held")
+
+        def halved(state: Column, _: Column) -> Column:
+            middle = F.floor((state["lo"] + state["hi"]) / 2).cast("int")
+            after = F.coalesce(before(F.col("__here"), F.get(held, middle)), F.lit(True))
+            return F.when(state["lo"] >= state["hi"], state).otherwise(F.struct(
+                F.when(after, state["lo"]).otherwise(middle + 1).alias("lo"), F.when(after, middle).otherwise(state["hi"]).alias("hi")
+            ))
+
+        steps = F.sequence(F.lit(0), F.lit(self.count.bit_length()))
+        start = F.struct(F.lit(0).alias("lo"), F.size(held).alias("hi"))
+        looked = placed.withColumns({"__here": here, "__held": splitters.scalar()})
+        return looked.withColumn(_SLICE, F.aggregate(steps, start, halved)["lo"]).drop("__here", "__held")
+
+    def _numbered(self, placed: DataFrame) -> DataFrame:
+        base = durable(placed.withColumn(_ROW, F.monotonically_increasing_id()))
+        self.order, self.helpers = [*self.order, Key(F.col(_ROW))], [*self.helpers, _ROW]
+        ordered = [k.column for k in self.order]
+        return durable(
+            base.repartitionByRange(self.count, *[F.col(k) for k in self.keys], *ordered).withColumn(_SLICE, F.spark_partition_id())
+        )
+
+    def largest(self) -> int:
+        counts = self.rows.groupBy(_SLICE).count()
+        return counts.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+
+    def add(self, cols: dict[str, Running]) -> DataFrame:
+        """The rows with the running values: those of the slice, and what narrow sums carry into it."""
+        local = self.rows.withColumns({n: r.over_rows().over(r.window([_SLICE, *self.keys], self.within)) for n, r in cols.items()})
+        return self._carried(local, cols)
+
+    def _carried(self, local: DataFrame, cols: dict[str, Running], source: DataFrame | None = None) -> DataFrame:
+        parts = (source or self.rows).groupBy(_SLICE, *self.keys).agg(*[r.over_rows().alias(f"__p_{n}") for n, r in cols.items()])
+        line = Window.partitionBy(*self.keys).orderBy(_SLICE)
+        others = {False: line.rowsBetween(Window.unboundedPreceding, -1), True: line.rowsBetween(1, Window.unboundedFollowing)}
+        carry = parts.withColumns({f"__c_{n}": r.merge(F.col(quoted(f"__p_{n}"))).over(others[r.ahead]) for n, r in cols.items()})
+        carry = carry.withColumn("__of", F.count(F.lit(1)).over(Window.partitionBy(*self.keys))).where(F.col("__of") > 1)
+        carry = durable(carry.select(_SLICE, *self.keys, *[F.col(quoted(f"__c_{n}")) for n in cols]))
+        joined = attach(local, F.broadcast(carry), [_SLICE, *self.by])
+        merged = {n: r.combine(F.col(quoted(f"__c_{n}")), F.col(quoted(n))) for n, r in cols.items()}
+        return joined.withColumns(merged).drop(*[f"__c_{n}" for n in cols])
+
+    def then(self, done: DataFrame, cols: dict[str, Running], narrow: Sequence[str]) -> DataFrame:
+        """More running values over rows that ``add`` has made, from their columns ``narrow``; no further shuffle."""
+        local = done.withColumns({n: r.over_rows().over(r.window([_SLICE, *self.keys], self.within)) for n, r in cols.items()})
+        return self._carried(local, cols, done.select(_SLICE, *self.keys, *narrow))
+
 
 def running(
     df: DataFrame, by: Sequence[str], order: Sequence[Key], cols: dict[str, Running], hot: Sizes | None | bool = True
@@ -114,33 +238,10 @@ def running(
     """Add running values per group in the given order. ``hot`` may carry sizes measured before."""
     sizes = is_hot(df, by) if hot is True else hot
     if not sizes:
-        w = Window.partitionBy(*[col(b) for b in by]).orderBy(*[k.column for k in order]).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: r.over_rows().over(w) for name, r in cols.items()})
-
-    keys = [quoted(b) for b in by]
-    count = max(2, min(_MAX_SLICES, -(-sizes.rows // _setting(df, SLICE_ROWS))))
-    # The row number keeps copies of one row apart; it is stored before it is used for routing.
-    base = durable(
-        df.withColumns({f"__o{i}": k.expr for i, k in enumerate(order)}).withColumn(_ROW, F.monotonically_increasing_id())
-    )
-    ordered = [Key(F.col(f"__o{i}"), k.desc).column for i, k in enumerate(order)] + [F.col(_ROW)]
-    cut = durable(
-        base.repartitionByRange(count, *[F.col(k) for k in keys], *ordered).withColumn(_SLICE, F.spark_partition_id())
-    )
-    inside = Window.partitionBy(_SLICE, *keys).orderBy(*ordered).rowsBetween(Window.unboundedPreceding, 0)
-    local = cut.withColumns({name: r.over_rows().over(inside) for name, r in cols.items()})
-
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    parts = cut.groupBy(_SLICE, *keys).agg(*[r.over_rows().alias(f"__p_{n}") for n, r in cols.items()])
-    carry = parts.withColumns(
-        {f"__c_{n}": r.merge(F.col(quoted(f"__p_{n}"))).over(before) for n, r in cols.items()}
-    ).withColumn("__nth", F.row_number().over(Window.partitionBy(*keys).orderBy(_SLICE)))
-    carry = carry.where(F.col("__nth") > 1).select(_SLICE, *keys, *[F.col(quoted(f"__c_{n}")) for n in cols])
-
-    joined = attach(local, F.broadcast(carry), [_SLICE, *by])
-    merged = {n: r.combine(F.col(quoted(f"__c_{n}")), F.col(quoted(n))) for n, r in cols.items()}
-    helpers = [_SLICE, _ROW, *[f"__o{i}" for i in range(len(order))], *[f"__c_{n}" for n in cols]]
-    return joined.withColumns(merged).drop(*helpers)
+        keys, ordered = [col(b) for b in by], [k.column for k in order]
+        return df.withColumns({name: r.over_rows().over(r.window(keys, ordered)) for name, r in cols.items()})
+    cut = Slices(df, by, order, sizes)
+    return cut.add(cols).drop(*cut.helpers)
 
 
 def positioned(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeinlog.functions import timespan
-from skeinlog.functions.aggs import Stat
+from skeinlog.functions.aggs import Stat, ranked_frame
 from skeinlog.functions.coerce import ipv4_num, num
 from skeinlog.model import CLUSTER, TIME, attach, col, field_name, group_key, quoted, val
 
@@ -101,7 +101,12 @@ def stats(df: DataFrame, by: Sequence[str | Bucket] = (), **aggs: Stat) -> DataF
     # a group without a usable value still is a row of the answer.
     columns = [s.column(df).alias(n) for n, s in direct.items()] or [F.count(F.lit(1)).alias("__rows")]
     done = rows.groupBy(*keys).agg(*columns)
+    ranked = {n: s for n, s in planned.items() if s.ranked}
+    if ranked:
+        done = attach(done, ranked_frame(rows, keys, ranked), keys)
     for name, stat in planned.items():
+        if name in ranked:
+            continue
         done = attach(done, stat.frame(rows, keys, name), keys)
         if stat.empty is not None:
             done = done.withColumn(name, F.coalesce(F.col(quoted(name)), F.lit(stat.empty)))

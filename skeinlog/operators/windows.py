@@ -12,7 +12,7 @@ from skeinlog.functions import aggs, timespan
 from skeinlog.functions.coerce import num
 from skeinlog.model import STREAM_ID, TIME, attach, col, quoted
 from skeinlog.operators.order import GROUP_LIMIT, sort_keys
-from skeinlog.operators.slices import Key, Running, is_hot, positioned, running
+from skeinlog.operators.slices import Key, Running, Slices, is_hot, positioned, running
 from skeinlog.operators.stats import keyed
 
 
@@ -150,8 +150,9 @@ def stream_context(
 ) -> DataFrame:
     """Rows that match, with their neighbours in the same stream inside the time window.
 
-    Every row learns the nearest match behind and ahead of it in two running
-    passes, so matches are never joined with their neighbourhood.
+    Every row learns the nearest match behind and ahead of it by running values in
+    both directions, so matches are never joined with their neighbourhood. On a
+    hot stream both come from one cut of the rows.
     """
     window = timespan.duration(time_window) // 1000
     if window <= 0 or before < 0 or after < 0:
@@ -159,10 +160,15 @@ def stream_context(
     flagged = df.withColumns({"__hit": F.coalesce(match, F.lit(False)), "__us": F.unix_micros(col(at).cast("timestamp"))})
     keys = sort_keys(df, [at], tie=tie)
     hot = is_hot(flagged, stream)
-    placed = running(flagged, stream, keys, {"__pos": Running("count", F.lit(1))}, hot)
+    position = {"__pos": Running("count", F.lit(1))}
     mark = F.when(F.col("__hit"), F.struct(F.col("__pos").alias("pos"), F.col("__us").alias("us")))
-    forward = running(placed, stream, [Key(F.col("__pos"))], {"__back": Running("max", mark)}, hot)
-    both = running(forward, stream, [Key(F.col("__pos"), True)], {"__ahead": Running("min", mark)}, hot)
+    nearest = {"__back": Running("max", mark), "__ahead": Running("min", mark, ahead=True)}
+    if hot:
+        cut = Slices(flagged, stream, keys, hot)
+        both = cut.then(cut.add(position), nearest, ["__hit", "__pos", "__us"]).drop(*cut.helpers)
+    else:
+        placed = running(flagged, stream, keys, position, None)
+        both = running(placed, stream, [Key(F.col("__pos"))], nearest, None)
     follows = (F.col("__pos") - F.col("__back.pos") <= after) & (F.col("__us") - F.col("__back.us") <= window)
     leads = (F.col("__ahead.pos") - F.col("__pos") <= before) & (F.col("__ahead.us") - F.col("__us") <= window)
     kept = both.where(F.col("__hit") | F.coalesce(follows, F.lit(False)) | F.coalesce(leads, F.lit(False)))
