@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal, InvalidOperation
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skeinlog.model import col, quoted, val
+from skeinlog.model import col, field_name, quoted, val
 
 # ---- fixed values: units in nanoseconds and bytes, number shapes -----------
 DURATION_UNITS = {
@@ -194,6 +198,45 @@ def float_text(c: Column) -> Column:
     )
 
 
+# Times as text: UTC, as the session, with all their digits.
+RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def text_of(df: DataFrame, f) -> Column:
+    """Field as log text, never null: doubles and floats by ``float_text``, times as RFC 3339, the rest as they print."""
+    kind = df.schema[field_name(f)].dataType if isinstance(f, str) and field_name(f) in df.columns else None
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        # a float counts as the number that it prints
+        c = col(f) if isinstance(kind, T.DoubleType) else col(f).cast("string").cast("double")
+        return F.coalesce(float_text(c), F.lit(""))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.date_format(col(f), RFC3339), F.lit(""))
+    return val(f)
+
+
+def logged_number(text: str) -> float | None:
+    """The double that is written so in logs; None if the text is another spelling of a number, or of none."""
+    if text in ("NaN", "+Inf", "-Inf"):
+        return float(text.lower())
+    try:
+        number = Decimal(text)
+    except InvalidOperation:
+        return None
+    if not number.is_finite() or not math.isfinite(float(number)):
+        return None
+    sign, digits, exponent = number.normalize().as_tuple()
+    if number == 0:
+        return 0.0 if text == "0" else None
+    point, digits = len(digits) + exponent, "".join(map(str, digits))
+    if -4 < point <= 21:
+        whole = digits[:point].ljust(point, "0") if point > 0 else "0"
+        rest = digits[point:] if point > 0 else "0" * -point + digits
+        form = whole + (f".{rest}" if rest else "")
+    else:
+        form = digits[0] + (f".{digits[1:]}" if digits[1:] else "") + f"e{point - 1:+03d}"
+    return float(number) if ("-" if sign else "") + form == text and len(digits) <= 17 else None
+
+
 COERCIONS = {
     "num": num,
     "duration": duration_ns,

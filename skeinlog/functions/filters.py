@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinlog.functions import timespan
-from skeinlog.functions.coerce import ipv4_num, num
+from skeinlog.functions.coerce import ipv4_num, logged_number, num
 from skeinlog.model import EXTRA, STREAM, STREAM_ID, TIME, col, expand, is_text, out, sort_key, val
 
 # ---- fixed values: word characters, placeholders, weekdays -----------------
@@ -117,7 +117,17 @@ def substring(f, text: str) -> Column:
 
 
 def exact(f, text: str) -> Column:
-    return val(f) == text
+    return _one_of(f, [text])
+
+
+def _one_of(f, texts: Sequence[str]) -> Column:
+    """The value is one of the texts. Doubles are compared as numbers; the optimizer knows the type and keeps one test."""
+    plain = val(f) == texts[0] if len(texts) == 1 else val(f).isin(list(texts))
+    numbers = [x for x in map(logged_number, texts) if x is not None]
+    double = F.coalesce(val(f).try_cast("double").isin(numbers), F.lit(False)) if numbers else F.lit(False)
+    if "" in texts:
+        double = double | (val(f) == "")
+    return F.when(F.typeof(col(f)) == "double", double).otherwise(plain)
 
 
 def exact_prefix(f, text: str) -> Column:
@@ -153,7 +163,7 @@ def seq(f, *phrases: str) -> Column:
 def in_(f, *values: str) -> Column:
     if "*" in values:
         return all_rows()
-    return val(f).isin(list(values)) if values else F.lit(False)
+    return _one_of(f, list(values)) if values else F.lit(False)
 
 
 def contains_any(f, *phrases: str) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skeinlog.functions.coerce import text_of
 from skeinlog.functions.filters import WORD, and_, any_phrase, phrase
 from skeinlog.model import STREAM_ID, col, field_name, out, quoted, val
 from skeinlog.operators.slices import durable
@@ -36,20 +37,20 @@ def join(
 ) -> DataFrame:
     """Add the fields of matching right rows; without a prefix a right value wins over a left one.
 
-    Keys are compared as field values, so a missing key equals an empty one. The
-    join strategy is left to the optimizer and adaptive execution. Inline rows
-    are part of the query text and therefore small; they are broadcast.
+    Keys are compared as log text, so a missing key equals an empty one, and the
+    double 5.0 meets the text 5. The join strategy is left to the optimizer and
+    adaptive execution, which know the size of either side.
     """
     if (right is None) == (rows is None):
         raise ValueError("give either a right table or inline rows")
     keys = [field_name(b) for b in by]
     if rows is not None:
-        right = F.broadcast(inline_rows(df.sparkSession, rows))
+        right = inline_rows(df.sparkSession, rows)
     fields = [c for c in right.columns if c not in keys]
-    side = right.select(*[val(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[col(c).alias(f"__r_{c}") for c in fields])
+    side = right.select(*[text_of(right, k).alias(f"__k{i}") for i, k in enumerate(keys)], *[col(c).alias(f"__r_{c}") for c in fields])
     cond = None
     for i, k in enumerate(keys):
-        one = val(k) == F.col(f"__k{i}")
+        one = text_of(df, k) == F.col(f"__k{i}")
         cond = one if cond is None else cond & one
     joined = df.join(side, cond, "inner" if inner else "left")
     target = {c: prefix + c for c in fields}
@@ -81,12 +82,12 @@ def union(df: DataFrame, other: DataFrame | None = None, rows: Sequence[dict[str
 
 def _sub_values(sub: DataFrame, field: str | None) -> DataFrame:
     """Distinct values of the subquery's field; the last column if none is named."""
-    return sub.select(val(field or sub.columns[-1]).alias("__v")).distinct()
+    return sub.select(text_of(sub, field or sub.columns[-1]).alias("__v")).distinct()
 
 
 def in_query(df: DataFrame, f: str, sub: DataFrame, sub_field: str | None = None, negate: bool = False) -> DataFrame:
     """Keep the rows whose value appears (or does not appear) in a subquery."""
-    return df.join(_sub_values(sub, sub_field), val(f) == F.col("__v"), "left_anti" if negate else "left_semi")
+    return df.join(_sub_values(sub, sub_field), text_of(df, f) == F.col("__v"), "left_anti" if negate else "left_semi")
 
 
 def stream_id_in_query(df: DataFrame, sub: DataFrame, sub_field: str | None = None, negate: bool = False) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skeinlog.functions.aggs import STRATEGIES, Stat
-from skeinlog.model import CLUSTER, attach, col, field_name, group_key, ordering, quoted, val
+from skeinlog.functions.coerce import float_text
+from skeinlog.model import CLUSTER, attach, col, field_name, group_key, is_text, ordering, quoted, val
 from skeinlog.operators.order import GROUP_LIMIT
 from skeinlog.operators.slices import Key, positioned
 
@@ -96,7 +97,10 @@ def _labels(metric: Column) -> Column:
 
 
 def _merge_series(points: DataFrame, funcs: dict[str, str | Stat]) -> DataFrame:
-    """Merge points by (labels, name, ts); the strategy follows the result name."""
+    """Merge points by (labels, name, ts); the strategy follows the result name.
+
+    Values are doubles. If a function keeps one of its values as it is and values come as text, all are text.
+    """
     number = _number(F.col(VALUE))
     rows = points.select(
         canonical(_labels(F.col(METRIC))).alias(METRIC),
@@ -113,10 +117,13 @@ def _merge_series(points: DataFrame, funcs: dict[str, str | Stat]) -> DataFrame:
         F.coalesce(F.avg("__x"), F.lit(0.0)).alias("avg"),
         merge_any(F.col(VALUE), F.col(CLUSTER) if CLUSTER in points.columns else None).alias("any"),
     )
-    picked = F.col("any").try_cast("double")
-    for name, func in funcs.items():
-        how = strategy(func)
-        picked = F.when(F.col(NAME) == name, F.col(how).try_cast("double") if how == "any" else F.col(how)).otherwise(picked)
+    hows = {name: strategy(func) for name, func in funcs.items()}
+    # one value of a text function is text: then every value is, numbers in their log form
+    text = "any" in hows.values() and is_text(points, VALUE)
+    picked = F.col("any") if text else F.col("any").try_cast("double")
+    for name, how in hows.items():
+        one = F.col(how) if how != "any" else F.col("any") if text else F.col("any").try_cast("double")
+        picked = F.when(F.col(NAME) == name, float_text(one) if text and how != "any" else one).otherwise(picked)
     return grouped.select(METRIC, NAME, TS, picked.alias(VALUE))
 
 

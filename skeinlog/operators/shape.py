@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeinlog.functions import textpat, timespan
+from skeinlog.functions.coerce import text_of
 from skeinlog.functions.filters import WORD, literal_re, user_re, value_kind
 from skeinlog.model import EXTRA, MSG, STREAM, STREAM_ID, TIME, col, expand, field_name, is_text, make_stream_id, out, quoted, val
 
@@ -225,7 +226,7 @@ def _packed_names(df: DataFrame, patterns: Sequence[str]) -> list[str]:
 
 def pack_json(df: DataFrame, patterns: Sequence[str] = (), as_: str = MSG) -> DataFrame:
     """Fields as one JSON object of texts, empty ones left out."""
-    parts = [out(val(n)).alias(n) for n in _packed_names(df, patterns)]
+    parts = [out(text_of(df, n)).alias(n) for n in _packed_names(df, patterns)]
     return assign(df, {as_: F.to_json(F.struct(*parts)) if parts else F.lit("{}")})
 
 
@@ -236,7 +237,8 @@ def _logfmt_value(c: Column) -> Column:
 
 def pack_logfmt(df: DataFrame, patterns: Sequence[str] = (), as_: str = MSG) -> DataFrame:
     """Fields as ``k=v`` text, values quoted where needed, empty ones left out."""
-    parts = [F.when(val(n) != "", F.concat(F.lit(n + "="), _logfmt_value(val(n)))) for n in _packed_names(df, patterns)]
+    texts = [(n, text_of(df, n)) for n in _packed_names(df, patterns)]
+    parts = [F.when(t != "", F.concat(F.lit(n + "="), _logfmt_value(t))) for n, t in texts]
     return assign(df, {as_: F.concat_ws(" ", *parts)})
 
 

@@ -56,6 +56,14 @@ for _name, (_pred, _sql) in DOCUMENTS.items():
         lambda spark, sf, pred=_pred: table(spark, sf, "documents").where(pred()).select("doc_id", "lang", "n_chars")
     )
 
+
+@register("D14_in_double", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity IN (5, 17, 50)")
+def _in_double(spark, sf):
+    """Numbers in their log text find doubles; other spellings of a number are other text."""
+    rows = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("double"))
+    return rows.where(f.in_("l_quantity", "5", "17", "50", "6.0", "7e0", "nine")).select("l_orderkey", "l_linenumber")
+
+
 IP = "concat_ws('.', 10, user_id, event_id % 256, (event_id * 7) % 256)"
 IP_SQL = "'10.' || user_id || '.' || (event_id % 256) || '.' || ((event_id * 7) % 256)"
 NUMBER = "(10 * 16777216 + user_id * 65536 + (event_id % 256) * 256 + (event_id * 7) % 256)"

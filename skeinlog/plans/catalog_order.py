@@ -205,6 +205,13 @@ def _join_left(spark, sf):
     return combine.join(table(spark, sf, "orders"), ["o_custkey"], right).select("o_orderkey", "n_name")
 
 
+@register("I1_join_text_to_double", "SELECT l_orderkey, l_linenumber, n_name FROM lineitem LEFT JOIN nation ON l_quantity = n_nationkey")
+def _join_text_to_double(spark, sf):
+    left = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("k"))
+    right = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("k"), "n_name")
+    return combine.join(left, ["k"], right).drop("k")
+
+
 @register("I2_join_inner", "SELECT l_orderkey, l_linenumber, l_partkey, o_orderdate::DATE::VARCHAR AS day FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'")
 def _join_inner(spark, sf):
     right = table(spark, sf, "orders").where(f.exact("o_orderstatus", "F")).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")

@@ -125,6 +125,20 @@ def _dedup(spark, sf):
     return federation.dedup_replicas(copies.unionByName(copies)).select("event_id", "_msg", CLUSTER)
 
 
+@register("A3_dedup_true_copies", """SELECT event_id, event_type, NULL AS trace FROM events UNION ALL SELECT event_id, event_type, NULL FROM events WHERE event_id % 5 = 0
+ UNION ALL SELECT event_id, event_type, 'b' FROM events WHERE event_id % 7 = 0""")
+def _true_copies(spark, sf):
+    """A row that one replica holds twice stays twice, rows that differ in one field stay apart."""
+    rows = logs(spark, sf).withColumn("trace", F.lit(None).cast("string"))
+    often, other = rows.where("event_id % 5 = 0"), rows.where("event_id % 7 = 0").withColumn("trace", F.lit("b"))
+    held = {"r0": [rows, often], "r1": [rows, other], "r2": [often, other, rows.where("event_id % 2 = 0")]}
+    tagged = [df.withColumn("_replica", F.lit(name)) for name, dfs in held.items() for df in dfs]
+    whole = tagged[0]
+    for df in tagged[1:]:
+        whole = whole.unionByName(df)
+    return federation.dedup_replicas(whole, replica="_replica").select("event_id", "event_type", "trace")
+
+
 @register("A4_read_ndjson", "SELECT event_id, event_type, CASE WHEN event_id % 4 <> 0 THEN value END AS value FROM events")
 def _ndjson(spark, sf):
     """Log lines written as JSON, with broken lines among them, read back."""
@@ -143,6 +157,14 @@ def _write(spark, sf):
     return spark.read.text(path)
 
 
+@register("A5_write_ndjson_times", r"""SELECT '{"event_id":' || event_id || ',"value":' || regexp_replace(value::VARCHAR, '\.0$', '') || ',"whole":' || (event_id % 9) || ',"_time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value FROM events""")
+def _write_times(spark, sf):
+    path = scratch(spark, "out")
+    rows = logs(spark, sf).select("event_id", "value", (F.col("event_id") % 9).cast("double").alias("whole"), "_time")
+    writers.write_ndjson(rows, path)
+    return spark.read.text(path)
+
+
 def _written(spark, df, what):
     """One JSON answer per line in a fresh folder."""
     path = scratch(spark, what)

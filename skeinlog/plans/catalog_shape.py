@@ -140,6 +140,12 @@ def _pack_json(spark, sf):
     return shape.pack_json(rows, ["kind", "user*"], "packed").select("event_id", "packed")
 
 
+@register("E16_pack_json_typed", r"""SELECT event_id, '{"value":"' || regexp_replace(value::VARCHAR, '\.0$', '') || '","whole":"' || (event_id % 9) || '","_time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS packed FROM events""")
+def _pack_json_typed(spark, sf):
+    rows = logs(spark, sf).withColumn("whole", (F.col("event_id") % 9).cast("double"))
+    return shape.pack_json(rows, ["value", "whole", "_time"], "packed").select("event_id", "packed")
+
+
 @register("E17_pack_logfmt", """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'kind=' || event_type || ' ' ELSE '' END || 'note="a ' || event_type || '"' AS packed FROM events""")
 def _pack_logfmt(spark, sf):
     rows = _texts(spark, sf, kind="if(event_id % 2 = 0, event_type, '')", note="concat('a ', event_type)").select("event_id", "kind", "note")

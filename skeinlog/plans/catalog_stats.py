@@ -265,6 +265,18 @@ def _range(spark, sf):
     return merge.merge_stats_range(points(spark, sf), {"n": "count", "hi": "max"})
 
 
+@register("B8_merge_any_text", """SELECT '{"type":"' || event_type || '"}' AS metric, 'n' AS name, epoch(date_trunc('day', ts)) AS ts, count(*)::VARCHAR AS value FROM events GROUP BY event_type, date_trunc('day', ts)
+ UNION ALL SELECT '{"type":"' || event_type || '"}', 'tag', epoch(date_trunc('day', ts)), min('x' || event_id % 3) FROM events GROUP BY event_type, date_trunc('day', ts)""")
+def _any_text(spark, sf):
+    """The text result of the first cluster stays text; sums beside it are text in log form."""
+    counts = points(spark, sf).where(F.element_at("metric", "__name__") == "n")
+    tagged = counts.withColumns({
+        "metric": F.create_map(F.lit("type"), F.element_at("metric", "type"), F.lit("__name__"), F.lit("tag")),
+        "value": F.concat(F.lit("x"), F.substring(CLUSTER, 2, 9)),
+    })
+    return merge.merge_stats_range(counts.unionByName(tagged), {"n": "count", "tag": "row_any"})
+
+
 @register("B7_merge_stats_instant", """SELECT '{"type":"' || event_type || '"}' AS metric, 'n' AS name, 1704067200.0::DOUBLE AS ts, count(*)::DOUBLE AS value FROM events GROUP BY event_type
  UNION ALL SELECT '{"type":"' || event_type || '"}', 'hi', 1704067200.0, max(value) FROM events GROUP BY event_type""")
 def _instant(spark, sf):

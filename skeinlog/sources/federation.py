@@ -10,10 +10,11 @@ from functools import reduce
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeinlog.functions import timespan
 from skeinlog.functions.filters import time_range
-from skeinlog.model import CLUSTER, MSG, STREAM_ID, TIME, col, field_name
+from skeinlog.model import CLUSTER, TIME, col, field_name, quoted
 
 Source = "DataFrame | Callable[[], DataFrame]"
 
@@ -50,14 +51,38 @@ def federate_reporting(sources: dict[str, Source], on_error: str = "skip") -> tu
     return _union(opened), skipped
 
 
-def dedup_replicas(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """One copy of each row that several replicas of a cluster hold.
+def row_content(df: DataFrame, without: Sequence[str] = ()) -> dict[str, Column]:
+    """Every column by a name of its own as something that rows can be grouped by; maps by their sorted entries."""
+    held = {}
+    for i, f in enumerate(df.schema.fields):
+        if f.name not in without:
+            c = F.col(quoted(f.name))
+            kind = f.dataType
+            held[f"__c{i}"] = F.array_sort(F.map_entries(c)) if isinstance(kind, T.MapType) else F.to_json(F.struct(c)) if "map<" in kind.simpleString() or "variant" in kind.simpleString() else c
+    return held
 
-    The kept columns are compared by value, so partial aggregation folds copies
-    before the shuffle and a row copied very often cannot overload one task.
+
+def dedup_replicas(df: DataFrame, keys: Sequence[str] | None = None, replica: str | None = None) -> DataFrame:
+    """Rows that several replicas of a cluster hold, folded.
+
+    Rows are the same if they agree in all columns. With ``replica``, the column that names the replica, a row stays as
+    often as the replica that holds it most often has it, so copies that were logged stay; the column goes. Without it copies
+    cannot be told from replicas, and one of them stays. ``keys`` asks for one row of those that agree in them.
+
+    Copies are counted before the shuffle, so a row copied very often cannot overload one task.
     """
-    names = [k for k in (keys or (CLUSTER, STREAM_ID, TIME, MSG)) if k in df.columns]
-    return df.dropDuplicates(names)
+    if keys:
+        return df.dropDuplicates([k for k in keys if k in df.columns])
+    content = row_content(df, [replica] if replica else [])
+    names = [c for c in df.columns if c != replica]
+    by = [*content, *(["__replica"] if replica else [])]
+    rows = df.withColumns({**content, **({"__replica": F.col(quoted(replica))} if replica else {})})
+    held = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"), *[F.first(F.col(quoted(n))).alias(f"__v{i}") for i, n in enumerate(names)])
+    values = [F.col(f"__v{i}").alias(n) for i, n in enumerate(names)]
+    if not replica:
+        return held.select(*values)
+    richest = held.groupBy(*content).agg(F.max("__n").alias("__n"), *[F.first(f"__v{i}").alias(f"__v{i}") for i in range(len(names))])
+    return richest.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n"))).select(*values)
 
 
 def cap(df: DataFrame, limit: int | str | None = None, max_limit: int = 1000, at: str = TIME, tie: Sequence[str] = ()) -> DataFrame:

@@ -4,13 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from skeinlog.functions.coerce import float_text
-from skeinlog.model import col, is_text, out, quoted, val
-
-
-# Times of the session, UTC, with all their digits.
-RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+from skeinlog.functions.coerce import RFC3339, float_text
+from skeinlog.model import col, dtype, is_text, out, quoted, val
 
 
 def without_empty(df: DataFrame) -> DataFrame:
@@ -18,9 +15,18 @@ def without_empty(df: DataFrame) -> DataFrame:
     return df.select(*[out(val(n)).alias(n) if is_text(df, n) else col(n) for n in df.columns])
 
 
+def _as_numbers(df: DataFrame) -> DataFrame:
+    """Doubles in their log form, still as JSON numbers; those that JSON has no number for are left out."""
+    def number(n: str):
+        finite = F.when(~F.isnan(col(n)) & (F.abs(col(n)) != float("inf")), col(n))
+        return F.parse_json(float_text(finite)).alias(n)
+
+    return df.select(*[number(n) if dtype(df, n) == T.DoubleType() else col(n) for n in df.columns])
+
+
 def write_ndjson(df: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON object per row, empty fields left out; every task writes its own file."""
-    without_empty(df).write.mode(mode).options(
+    _as_numbers(without_empty(df)).write.mode(mode).options(
         ignoreNullFields="true", timestampFormat=RFC3339, timestampNTZFormat=RFC3339
     ).json(path)
 

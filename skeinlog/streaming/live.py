@@ -16,12 +16,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skeinlog.functions.aggs import Stat, count
 from skeinlog.functions.timespan import duration
-from skeinlog.model import CLUSTER, MSG, STREAM_ID, TIME, attach, col, field_name, group_key, quoted
+from skeinlog.model import TIME, attach, col, field_name, group_key, quoted
 from skeinlog.operators.merge import _merged
 from skeinlog.operators.order import sort_keys
 from skeinlog.operators.slices import is_hot, running
 from skeinlog.operators.stats import keyed
 from skeinlog.operators.windows import RunningStat, _scalar
+from skeinlog.sources.federation import row_content
 
 Pipe = Callable[[DataFrame], DataFrame]
 BATCH = "_batch"
@@ -73,10 +74,28 @@ def stream_merge_partials(sdf: DataFrame, by: Sequence[str], funcs: dict[str, st
     return marked.groupBy(*keys, col(ts)).agg(*[_merged(sdf, r, f).alias(r) for r, f in funcs.items()])
 
 
-def stream_dedup_replicas(sdf: DataFrame, late="1h", keys: Sequence[str] | None = None, at: str = TIME) -> DataFrame:
-    """One copy of each row that replicas deliver within ``late`` of each other."""
-    names = [k for k in (keys or (CLUSTER, STREAM_ID, TIME, MSG)) if k in sdf.columns]
-    return sdf.withWatermark(field_name(at), _spark_interval(late)).dropDuplicatesWithinWatermark(names)
+def stream_dedup_replicas(
+    sdf: DataFrame, late="1h", keys: Sequence[str] | None = None, at: str = TIME, replica: str | None = None
+) -> DataFrame:
+    """Rows that replicas deliver within ``late`` of each other, folded as ``dedup_replicas`` does.
+
+    Without ``replica`` the first of equal rows (all columns, or ``keys``) passes at once. With it, rows are counted by
+    (row, replica) until the watermark has passed their time; then each goes out as often as its richest replica has it.
+    """
+    marked = sdf.withWatermark(field_name(at), _spark_interval(late))
+    if keys:
+        return marked.dropDuplicatesWithinWatermark([k for k in keys if k in sdf.columns])
+    content = row_content(sdf, [c for c in (replica, field_name(at)) if c])
+    rows = marked.withColumns(content)
+    if not replica:
+        return rows.dropDuplicatesWithinWatermark([*content, field_name(at)]).drop(*content)
+    names = [c for c in sdf.columns if c not in (replica, field_name(at))]
+    by = [*content, col(at)]
+    first = lambda source: [F.first(F.col(quoted(source(i, n)))).alias(f"__v{i}") for i, n in enumerate(names)]
+    held = rows.groupBy(*by, col(replica)).agg(F.count(F.lit(1)).alias("__n"), *first(lambda i, n: n))
+    richest = held.groupBy(*by).agg(F.max("__n").alias("__n"), *first(lambda i, n: f"__v{i}"))
+    copies = richest.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
+    return copies.select(col(at), *[F.col(f"__v{i}").alias(n) for i, n in enumerate(names)])
 
 
 # ---- sinks -----------------------------------------------------------------
