@@ -27,6 +27,7 @@ from skeinlog.llm.common import cut
 LOOK, LOOK_ON = 12, 4
 BITS = 64
 LIMIT = 8 << 20
+NEW = ("shard", "shard_bits", "shard_bytes", "shard_rows")
 #: Bytes of a value of a type; of those not named here 8, of decimals 16.
 _SIZES = {BooleanType: 1, ByteType: 1, ShortType: 2, IntegerType: 4, FloatType: 4, DateType: 4, DecimalType: 16}
 
@@ -47,14 +48,26 @@ def row_bytes(docs: DataFrame) -> F.Column:
     return sum((one(f) for f in docs.schema.fields), F.lit(0).cast("long"))
 
 
-def place(docs: DataFrame, keys: list[str], size: F.Column) -> DataFrame:
-    """Writes the rows once with their size (long, 0 for null) and place (64-bit hash, unsigned order).
+def _content(field: StructField) -> F.Column:
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column)) if any(t in field.dataType.simpleString() for t in ("map<", "variant")) else column
 
-    The hash takes the row's number too, so that copies of one row, of one key or of null spread like other rows. The
-    written table fixes it: later reads, also after a lost executor, see the same places.
+
+def place(docs: DataFrame, keys: list[str], size: F.Column, limit: int) -> DataFrame:
+    """The rows with their size (long, 0 for null) and place (64-bit hash of the keys and all columns, unsigned order).
+
+    A row's place depends on the row alone, so nothing is written here. Only rows whose like take more than the limit
+    together, which no bit could part, are written once with a number each, which then counts in the hash.
     """
-    spread = F.xxhash64(*keys, F.monotonically_increasing_id())
-    return cut(docs.withColumns({"__size": F.coalesce(size, F.lit(0)).cast("long"), "__place": spread}))
+    spread = F.xxhash64(*keys, *[_content(f) for f in docs.schema.fields])
+    rows = docs.withColumns({"__size": F.coalesce(size, F.lit(0)).cast("long"), "__place": spread})
+    alike = rows.groupBy("__place").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"))
+    hot = cut(alike.where((F.col("size") > limit) & (F.col("n") > 1)).select("__place"))
+    if not hot.take(1):
+        return rows
+    apart = F.xxhash64("__place", F.monotonically_increasing_id())
+    again = cut(rows.join(hot, "__place", "left_semi").select(*docs.columns, "__size", apart.alias("__place")))
+    return rows.join(hot, "__place", "left_anti").select(*docs.columns, "__size", "__place").unionByName(again)
 
 
 def directory(placed: DataFrame, limit: int = LIMIT) -> list[tuple[int, int]]:
@@ -103,9 +116,11 @@ def shard(docs: DataFrame, keys: list[str], size: F.Column, limit: int = LIMIT)
     """The rows with shard (b and the bits of the prefix), shard_bits, shard_bytes and shard_rows.
 
     Every shard is within the limit but for one that holds a single larger row. Buckets that held no row are left out.
-    Nulls in keys or size, repeated rows and ties are allowed; an empty table gives no rows.
+    Nulls in keys or size, repeated rows and ties are allowed; an empty table gives no rows. Columns that docs has under
+    the names of the new ones are replaced.
     """
-    placed = place(docs, keys, size)
+    docs = docs.withColumn("__given", size).drop(*NEW)
+    placed = place(docs, [k for k in keys if k in docs.columns], F.col("__given"), limit).drop("__given")
     leaves = directory(placed, limit)
     spark = docs.sparkSession
     names = spark.createDataFrame(

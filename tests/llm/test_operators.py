@@ -484,6 +484,21 @@ def test_sharding(small, clashing, none, limit):
     assert sharding.shard(none, ["doc_id"], F.octet_length("text"), limit).count() == 0
 
 
+def test_places_follow_from_rows_and_copies_are_parted(spark):
+    """Two runs over rows in another order give each row the same shard, and a hot group of copies is split as well."""
+    rows = [(i, f"text {i}") for i in range(200)] + [(7, "copied " * 9)] * 60 + [(None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"shard": F.lit("x"), "m": F.create_map(F.lit("k"), F.col("doc_id"))})
+    runs = []
+    for parts in (1, 7):
+        out = sharding.shard(df.repartition(parts), ["doc_id"], F.octet_length("text"), 300).select("doc_id", "text", "shard", "shard_bytes").collect()
+        assert len(out) == len(rows) and all(r["shard_bytes"] <= 300 for r in out)
+        runs.append({(r["doc_id"], r["shard"]) for r in out if r["text"] and r["text"].startswith("text")})
+    assert len(runs[0]) == 200
+    # what is not a copy of a hot row lies below the same prefix of its hash, however deep the copies made the directory
+    by = [{d: s for d, s in run} for run in runs]
+    assert all(by[0][d].startswith(by[1][d]) or by[1][d].startswith(by[0][d]) for d in by[0])
+
+
 def test_sharding_query_writes_whole_rows(spark, sf):
     from skeinlog.llm import queries
     from skeinlog.llm.common import shared_folder
