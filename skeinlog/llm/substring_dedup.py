@@ -86,6 +86,8 @@ def _region_rows(filter_: np.ndarray, bits: int):
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and place of each window. A place in a text is one number: the first word of its region, and in the lower 32
+    bits the offset there. Regions of a text lie one behind the other, so places are in the order of words."""
     for batch in batches:
         for part in slices(batch):
             w = words(part.column("text"), SPACE)
@@ -96,8 +98,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             take = pa.array(region, pa.int64())
             yield pa.RecordBatch.from_arrays([
                 signed(hashed[at]), part.column("doc").take(take), part.column("version").take(take),
-                pa.array(first[region] + at - w.bounds[region]), part.column("first").take(take),
-            ], ["hash", "doc", "version", "start", "first"])
+                pa.array((first[region] << 32) + at - w.bounds[region]),
+            ], ["hash", "doc", "version", "place"])
 
 
 class Automaton:
@@ -233,16 +235,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     regions = cut(docs.mapInArrow(
         _region_rows(filter_, FILTER_BITS), "doc long, version long, first long, n long, text string"
     ))
-    windows = regions.mapInArrow(_window_rows, "hash long, doc long, version long, start long, first long")
-    place = F.struct("doc", "version", "start", "first")
+    windows = regions.mapInArrow(_window_rows, "hash long, doc long, version long, place long")
+    place = F.struct("doc", "version", "place")
     origin = windows.groupBy("hash").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    at = F.struct("doc", "version", "start")
+    at = F.struct("doc", "version", "place")
     refers = (
         windows.join(origin.select("hash", "origin"), "hash")
-        .where(at > F.struct("origin.doc", "origin.version", "origin.start"))
+        .where(at > F.col("origin"))
         .select(
-            "doc", "version", "first",
-            F.col("origin.doc").alias("r_doc"), F.col("origin.version").alias("r_version"), F.col("origin.first").alias("r_first"),
+            "doc", "version", F.shiftright("place", 32).alias("first"), F.col("origin.doc").alias("r_doc"),
+            F.col("origin.version").alias("r_version"), F.shiftright("origin.place", 32).alias("r_first"),
         ).distinct()
     )
     refers = cut(refers)
