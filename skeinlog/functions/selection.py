@@ -86,6 +86,12 @@ def quantiles(df: DataFrame, by: Sequence[str], asked: dict[str, tuple[float, li
 def _within(rows: DataFrame, keys: Sequence[str], state: DataFrame, ranges: int) -> DataFrame:
     """The values that lie in an open range of their group, with it."""
     held = state.where("__lo < __hi").select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__f").alias("__g"), "__q", "__lo", "__hi", "__rank")
+    if not keys:
+        # one range a quantile of the query: they are part of each row's test, not of a join
+        fields = ("__g", "__q", "__lo", "__hi", "__rank")
+        told = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in fields]) for r in held.collect()])
+        mine = F.filter(told, lambda r: (r["__g"] == F.col("__f")) & (F.col("__v") >= r["__lo"]) & (F.col("__v") <= r["__hi"]))
+        return rows.withColumn("__r", F.explode(mine)).select("__f", "__v", *[F.col("__r")[c].alias(c) for c in fields[1:]])
     on = F.col("__f") == F.col("__g")
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skeinlog.functions.aggs import Stat, count
 from skeinlog.functions.timespan import duration
-from skeinlog.model import TIME, attach, col, field_name, group_key, quoted
+from skeinlog.model import CLUSTER, TIME, attach, col, field_name, group_key, quoted
 from skeinlog.operators.merge import _merged
 from skeinlog.operators.order import sort_keys
 from skeinlog.operators.slices import is_hot, running
