@@ -4,9 +4,11 @@ import collections
 import hashlib
 import os
 import re
+import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +320,16 @@ def test_lm(spark, small, none, tmp_path):
     )
     assert got == want
     assert all(r["score"] < 0 for r in rows)
+    size = {(i, len((t or "").encode())) for i, t in texts(docs)}
+    assert all(r["bits_per_byte"] is None or any(i == r["doc_id"] and abs(-r["score"] / math.log10(2) / n - r["bits_per_byte"]) < 1e-6 for i, n in size if n) for r in rows)
+    # rows that do not come from files, in blocks of few bytes, score the same
+    again = lm.score_documents(docs.repartition(3))
+    key = lambda r: (r["doc_id"] is None, r["doc_id"] or 0, r["n_tokens"], round(r["score"], 1))
+    lm.BLOCK_BYTES, kept = 20_000, lm.BLOCK_BYTES
+    try:
+        assert collections.Counter(key(r)[:3] for r in again.collect()) == collections.Counter(key(r)[:3] for r in rows)
+    finally:
+        lm.BLOCK_BYTES = kept
     none.write.parquet(f"{tmp_path}/e.parquet")
     assert lm.score_documents(spark.read.parquet(f"{tmp_path}/e.parquet")).count() == 0
 
@@ -327,17 +339,70 @@ def test_bits_of_a_context_add_up_to_one():
 
     table = np.zeros((2, cm.SLOTS), np.float32)
     weights, seen = cm.start_weights(), np.zeros((cm.GATES, cm.BINS, 2))
-    cm.count([b"the", b"then", b"of"], np.array([9, 2, 5]), table)
-    cm.learn([b"the", b"then", b"of"], np.array([9, 2, 5]), table, weights, seen, 0.1)
+    learned, times = [b"the", b"then", b"thence", b"thenard", b"of"], np.array([9, 2, 5, 1, 5])
+    cm.count(learned, times, table)
+    cm.learn(learned, times, np.zeros(5, np.int64), table, weights, seen, np.full(2, 0.1))
     refined = cm.refinement(seen)
+
+    def chance(*words, least=0):
+        """Of words that were not learned from, among those that were."""
+        text, n = learned + list(words), np.concatenate([times, np.zeros(len(words), np.int64)])
+        return 10 ** cm.log10_probability(text, n, np.full(len(text), least), table, weights, refined)[len(learned) :]
+
     # all texts of no or one byte, and all others by their first byte
-    p0 = 10 ** cm.log10_probability([b""], table, weights, refined)[0]
-    one = cm.log10_probability([bytes([b]) for b in range(256) if b != 0x20], table, weights, refined)
-    two = [bytes([97, b]) for b in range(256) if b != 0x20]
-    assert 0 < p0 < 1 and p0 + (10**one).sum() < 1
-    assert (10 ** cm.log10_probability(two, table, weights, refined)).sum() < 1
-    known, unknown = cm.log10_probability([b"the", b"qzx"], table, weights, refined)
+    bytes_ = [bytes([b]) for b in range(256) if b != 0x20]
+    p0 = chance(b"")[0]
+    assert 0 < p0 < 1 and p0 + chance(*bytes_).sum() < 1
+    assert chance(*[b"a" + x for x in bytes_]).sum() < 1
+    # the same past the bytes that words counted together share
+    assert chance(b"then", *[b"then" + x for x in bytes_]).sum() < 1
+    assert chance(b"thenc", *[b"thenc" + x for x in bytes_]).sum() < 1
+    known, unknown = chance(b"the", b"qzx")
     assert known > unknown
+    # what follows all of the word so far counts only where its context lies whole among the words
+    assert chance(b"thence")[0] != chance(b"thence", least=9)[0]
+
+
+def test_counts_after_all_of_the_word_so_far():
+    from skeinlog.llm import context_mix as cm
+
+    rng = np.random.default_rng(5)
+    words = sorted({bytes(rng.integers(97, 99, rng.integers(0, 9)).astype(np.uint8)) for _ in range(300)})
+    times = rng.integers(0, 4, len(words))
+    bits = cm.Bits(words)
+    use, counts = cm.alike(bits, times, np.zeros(len(words), np.int64))
+    at = 0
+    for w in words:
+        for k, byte in enumerate(w + b" "):
+            for j in range(8):
+                seen = [0, 0]
+                for v, n in zip(words, times.tolist(), strict=True):
+                    v += b" "
+                    if len(v) > k and v[:k] == w[:k] and v[k] >> (8 - j) == byte >> (8 - j):
+                        seen[v[k] >> (7 - j) & 1] += n
+                assert counts[j][:, at].tolist() == (seen if k >= cm.SHARED else [0, 0])
+            assert use[at] == (k >= cm.SHARED)
+            at += 1
+
+
+@pytest.mark.parametrize("most", [3, 7, 50])
+def test_words_that_begin_alike_stay_together(most, monkeypatch):
+    from skeinlog.llm import context_mix as cm
+
+    monkeypatch.setattr(lm, "CHUNK", most)
+    rng = np.random.default_rng(most)
+    words = sorted({bytes(rng.integers(97, 99, rng.integers(1, 12)).astype(np.uint8)) for _ in range(80)})
+    n = np.arange(len(words))
+    rows = [pa.RecordBatch.from_arrays([pa.array([w.decode() for w in words[i : i + 9]]), pa.array(n[i : i + 9])], ["word", "n"]) for i in range(0, len(words), 9)]
+    got = list(lm._together(iter(rows)))
+    assert [w for text, _, _ in got for w in text] == words and np.concatenate([x for _, x, _ in got]).tolist() == n.tolist()
+    for text, _, least in got:
+        assert len(text) <= most
+        mine = set(text)
+        for w, first in zip(text, least.tolist(), strict=True):
+            for k in range(cm.SHARED, len(w) + 1):
+                whole = all(v in mine for v in words if v[:k] == w[:k])
+                assert whole == (k >= first), (w, k)
 
 
 def shingles(t):
