@@ -387,6 +387,21 @@ def uniq_values(*fields, limit: int = 0) -> Stat:
     return Stat("uniq_values", table=build, empty="[]")
 
 
+def value_rows(df: DataFrame, by: Sequence[str], *fields, distinct: bool = False) -> DataFrame:
+    """What values and uniq_values list, as rows: the group, position (from 1, in order of text) and value.
+
+    No list is built, so a group may be of any length. Missing values are left out, and groups without any.
+    """
+    taken = {"position", "value"} & set(by)
+    if taken:
+        raise ValueError(f"rename the grouping fields {sorted(taken)}")
+    rows = _long(df, by, [out(val(f)) for f in _names(df, fields)])
+    placed = positioned(rows.distinct() if distinct else rows, by, [Key(F.col("__v"))], "__rn")
+    return placed.select(
+        *[F.col(quoted(b)) for b in by], F.col("__rn").cast("long").alias("position"), F.col("__v").alias("value")
+    )
+
+
 def json_values(*fields, sort: Sequence[tuple[str, bool] | str] = (), limit: int = 0) -> Stat:
     """Rows as JSON objects in a JSON array, ordered by the sort fields (name or (name, desc)), then by text."""
 

@@ -95,6 +95,18 @@ def holes(spark, sf):
     return logs(spark, sf).withColumns({n: F.expr(e) for n, e in HOLES.items()})
 
 
+@register("F21_values_rows", f"""SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY y::VARCHAR) AS position,
+ y::VARCHAR AS value FROM {HOLES_SQL} WHERE y IS NOT NULL""")
+def _value_rows(spark, sf):
+    return a.value_rows(holes(spark, sf), ["event_type"], "y")
+
+
+@register("F22_uniq_values_rows", f"""SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY v) AS position, v AS value
+ FROM (SELECT DISTINCT event_type, y::VARCHAR AS v FROM {HOLES_SQL} WHERE y IS NOT NULL)""")
+def _uniq_value_rows(spark, sf):
+    return a.value_rows(holes(spark, sf), ["event_type"], "y", distinct=True)
+
+
 # Aggregates over fields with holes: function and SQL.
 AGGS = {
     "F6_count": (lambda: a.count("x", "y"), "count(*) FILTER (x IS NOT NULL OR y IS NOT NULL)"),

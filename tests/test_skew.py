@@ -21,6 +21,8 @@ CASES = {
     "uniq": lambda rows: order.uniq(rows, ["user_id"], with_hits=True, limit=2000),
     "quantile": lambda rows: stats(rows, ["event_type"], q=a.quantile(0.9, "value"), m=a.median("value", "user_id")),
     "quantile_global": lambda rows: stats(rows, [], q=a.quantile(0.01, "value"), top=a.quantile(1, "value"), low=a.quantile(0, "value")),
+    "value_rows": lambda rows: a.value_rows(rows, ["event_type"], "user_id"),
+    "value_rows_global": lambda rows: a.value_rows(rows, [], "user_id", "event_id", distinct=True),
     "values": lambda rows: stats(rows, ["event_type"], v=a.values("user_id"), u=a.uniq_values("user_id"), j=a.json_values("event_id", sort=["value"])),
 }
 
@@ -57,3 +59,14 @@ def test_too_long_lists_fail_instead_of_being_cut(spark, monkeypatch):
     with pytest.raises(Exception, match="set a limit"):
         stats(rows, ["g"], v=a.values("v")).collect()
     assert stats(rows, ["g"], v=a.values("v", limit=3)).first()["v"] == '["0","1","2"]'
+
+
+def test_lists_as_rows_have_no_bound(spark, monkeypatch):
+    monkeypatch.setattr(a, "LIST_BOUND", 3)
+    rows = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "a"), ("g", None), ("g", ""), (None, "c"), ("h", None), ("g", "é")], "g string, v string")
+    got = rows_of(a.value_rows(rows, ["g"], "v"))
+    assert got == sorted([("g", 1, "a"), ("g", 2, "a"), ("g", 3, "b"), ("g", 4, "é"), (None, 1, "c")], key=str)
+    assert rows_of(a.value_rows(rows, [], "v", distinct=True)) == sorted([(1, "a"), (2, "b"), (3, "c"), (4, "é")], key=str)
+    assert a.value_rows(rows.limit(0), ["g"], "v").count() == 0
+    with pytest.raises(ValueError, match="rename"):
+        a.value_rows(rows.withColumnRenamed("g", "value"), ["value"], "v")
