@@ -43,7 +43,7 @@ def appended(spark, sdf: DataFrame) -> DataFrame:
 
 def upserted(spark, sdf: DataFrame, keys: list[str]) -> DataFrame:
     path = scratch(spark, "upserted")
-    finished(live.upsert(sdf, path, scratch(spark, "checkpoint"), NOW))
+    finished(live.upsert(sdf, path, scratch(spark, "checkpoint"), keys, NOW))
     return live.latest(spark, path, keys)
 
 

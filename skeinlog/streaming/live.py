@@ -1,8 +1,8 @@
 """Live queries on Structured Streaming.
 
 Aggregates that change are written as upserts: every micro-batch writes the
-rows it changed into a folder of its own number. A batch that is repeated after
-a failure overwrites its folder, and a reader takes the newest row per key.
+rows it changed as a run of its own number (``runs.py``). A batch that is repeated
+after a failure writes it again, and a reader takes the newest row per key.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from skeinlog.operators.slices import is_hot, running
 from skeinlog.operators.stats import keyed
 from skeinlog.operators.windows import RunningStat, _scalar
 from skeinlog.sources.federation import row_content
+from skeinlog.streaming.runs import EVERY, Runs
 
 Pipe = Callable[[DataFrame], DataFrame]
 BATCH = "_batch"
@@ -124,21 +125,39 @@ def append(sdf: DataFrame, path: str, checkpoint: str, trigger: dict | None = No
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(path)
 
 
-def upsert(sdf: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Write changed rows of an aggregate, one folder per micro-batch."""
+def _newest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """Rows with a batch number, cut to the newest per key."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        others = [c for c in rows.columns if c not in keys]
+        newest = F.max_by(F.struct(*[col(c) for c in others]), col(BATCH)).alias("__r")
+        return rows.groupBy(*[col(k) for k in keys]).agg(newest).select(*[col(k) for k in keys], "__r.*")
+
+    return fold
+
+
+def upsert(
+    sdf: DataFrame, path: str, checkpoint: str, keys: Sequence[str], trigger: dict | None = None, every: int = EVERY
+) -> StreamingQuery:
+    """Write changed rows of an aggregate, newest per key; ``every`` micro-batches are folded into one run, and so on up.
+
+    A path belongs to one query and its checkpoint.
+    """
+    runs = Runs(path, _newest(keys), every)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        runs.write(batch.withColumn(BATCH, F.lit(number).cast("bigint")), number)
 
     return _start(sdf, write, checkpoint, "update", trigger or {"processingTime": "1 second"})
 
 
-def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Newest row per key out of an upsert folder."""
-    rows = spark.read.parquet(path)
-    others = [c for c in rows.columns if c not in keys and c != BATCH]
-    newest = F.max_by(F.struct(*[col(c) for c in others]), col(BATCH)).alias("__r")
-    return rows.groupBy(*[col(k) for k in keys]).agg(newest).select(*[col(k) for k in keys], "__r.*")
+def latest(spark: SparkSession, path: str, keys: Sequence[str], every: int = EVERY) -> DataFrame:
+    """Newest row per key of what ``upsert`` wrote, out of a number of folders that grows with the log of the batches."""
+    runs = Runs(path, _newest(keys), every)
+    head = runs.head(spark)
+    if head is None:
+        raise ValueError(f"no finished batch in {path}")
+    return runs.fold(runs.rows(spark, head)).drop(BATCH)
 
 
 def stream_running_stats(
@@ -151,36 +170,42 @@ def stream_running_stats(
     tie: Sequence[str] = (),
     order: Sequence[str] = (TIME,),
     trigger: dict | None = None,
+    every: int = EVERY,
 ) -> StreamingQuery:
     """Running count, sum, min and max per group on a live stream.
 
-    Rows are ordered inside a micro-batch and batches follow each other. The
-    totals so far are a table in two folders used in turn: batch n reads what
-    batch n-1 wrote and overwrites the other one, so a repeated batch gives the
-    same answer. A hot group is spread over tasks like in the batch operator.
+    Rows are ordered inside a micro-batch and batches follow each other. The totals so far lie below ``state`` as
+    runs: a batch reads the totals of its own groups and writes what it adds to them, so groups that it does not
+    touch are not written, and a repeated batch gives the same answer. A hot group is spread over tasks like in the
+    batch operator.
     """
     bad = [n for n, f in funcs.items() if f.func in ("first", "last")]
     if bad:
         raise ValueError(f"no running position on a stream: {bad}")
+    groups = [f"__g{i}" for i in range(len(by))]
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows, names = keyed(batch, by)
-        groups = [f"__g{i}" for i in range(len(names))]
-        scalars = {n: _scalar(batch, f) for n, f in funcs.items()}
-        here = running(rows, groups, sort_keys(batch, order, tie=tie), scalars, is_hot(rows, groups))
+        held = batch.persist()
+        rows, _ = keyed(held, by)
+        scalars = {n: _scalar(held, f) for n, f in funcs.items()}
+        merge = [s.merge(col(n)).alias(n) for n, s in scalars.items()]
+        totals = Runs(state, lambda many: many.groupBy(*groups).agg(*merge), every)
+        here = running(rows, groups, sort_keys(held, order, tie=tie), scalars, is_hot(rows, groups))
         sums = rows.groupBy(*groups).agg(*[s.over_rows().alias(n) for n, s in scalars.items()])
         if number > 0:
-            before = spark.read.parquet(f"{state}/{(number - 1) % 2}")
-            old = before.withColumnsRenamed({n: f"__s_{n}" for n in funcs})
+            before = totals.rows(spark, number - 1)
+            if groups:
+                touched = rows.select(*[F.col(g).alias(f"__t{i}") for i, g in enumerate(groups)]).distinct()
+                same = [F.col(g).eqNullSafe(F.col(f"__t{i}")) for i, g in enumerate(groups)]
+                before = before.join(touched, same, "left_semi")
+            old = totals.fold(before).withColumnsRenamed({n: f"__s_{n}" for n in funcs})
             here = attach(here, old, groups)
             here = here.withColumns({n: s.combine(F.col(quoted(f"__s_{n}")), col(n)) for n, s in scalars.items()})
-            both = before.unionByName(sums)
-            merged = {n: s.merge(col(n)).alias(n) for n, s in scalars.items()}
-            sums = both.groupBy(*groups).agg(*merged.values())
         drop = [*groups, *[f"__s_{n}" for n in funcs]]
         here.drop(*drop).write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
-        sums.write.mode("overwrite").parquet(f"{state}/{number % 2}")
+        totals.write(sums, number)
+        held.unpersist()
 
     return _start(sdf, write, checkpoint, "append", trigger or {"processingTime": "1 second"})
 
