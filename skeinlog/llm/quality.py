@@ -14,9 +14,16 @@ from skeinlog.llm.common import bind, cut
 SPACES = " \t\n\u000b\f\r"
 SYMBOLS = "#*$%&|<>"
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters", "n_shouts"]
-ROUNDS = 12
-#: Share of pseudo-votes by which the starting point is kept in every estimate.
+#: Rounds of expectation-maximisation at most, and the change of an estimate below which it stops.
+ROUNDS, STILL = 40, 5e-4
+#: Starting point: share of good documents; how often a rule that votes is right on good and on bad ones. Rules seldom
+#: speak against a good document, and each knows one kind of junk only.
+GOOD, RIGHT, WRONG = 0.85, 0.999, 0.2
+#: Belief in RIGHT, as votes of this share of all documents. Votes against a document would otherwise fit "bad" as well
+#: as "good but unlucky" where only one rule ever speaks; nothing pulls the other estimates.
 PRIOR = 0.01
+#: Votes, half of either kind, that keep an estimate off 0 and 1.
+GUARD = 0.01
 
 
 def _counted(text: Column, characters: str) -> Column:
@@ -119,9 +126,12 @@ def fit_votes(patterns: DataFrame, votes: list[str], rounds: int = ROUNDS) -> di
     """Expectation-maximisation over the counts of vote patterns (columns: the votes and n), at most 3^rules rows.
 
     "right", v: how often rule v, when it votes on a good document, votes good; "wrong", v: when it votes on a bad one,
-    votes bad. Each round is one aggregate that returns one row. Without rows the starting point stays.
+    votes bad; "silent", v: how often it abstains, on good and bad alike. Estimates are free: a rule may turn out to be
+    no better than chance, or worse. The start tells which class is called good; PRIOR is the only pull. Each round is
+    one aggregate that returns one row. Without rows the starting point stays.
     """
-    start = {"good": 0.85} | {("right", v): 0.999 for v in votes} | {("wrong", v): 0.2 for v in votes}
+    start = {"good": GOOD} | {("right", v): RIGHT for v in votes} | {("wrong", v): WRONG for v in votes}
+    start |= {("silent", v): 0.0 for v in votes}
     model = dict(start)
     for _ in range(rounds):
         p = _posterior(votes, model)
@@ -133,16 +143,20 @@ def fit_votes(patterns: DataFrame, votes: list[str], rounds: int = ROUNDS) -> di
         got = patterns.agg(*sums).first()
         if not got["all"]:
             return start
-        extra = PRIOR * got["all"]
 
-        def rate(hit: float, miss: float, first: float, least: float, most: float, extra: float = extra) -> float:
-            return min(max((hit + extra * first) / (hit + miss + extra), least), most)
+        def rate(hit: float, miss: float, belief: float = 0.0) -> float:
+            return (hit + belief * RIGHT + GUARD / 2) / (hit + miss + belief + GUARD)
 
-        model = {"good": rate(got["good"], got["all"] - got["good"], start["good"], 0.02, 0.98)}
+        new = {"good": rate(got["good"], got["all"] - got["good"])}
         for k, v in enumerate(votes):
-            # bounds that keep a vote evidence for what it says, and keep one common kind of junk from being the only one
-            model["right", v] = rate(got[f"plus_good_{k}"], got[f"minus_good_{k}"], start["right", v], 0.995, 0.9999)
-            model["wrong", v] = rate(got[f"minus_bad_{k}"], got[f"plus_bad_{k}"], start["wrong", v], 0.1, 0.6)
+            right, off = got[f"plus_good_{k}"], got[f"minus_good_{k}"]
+            wrong, missed = got[f"minus_bad_{k}"], got[f"plus_bad_{k}"]
+            new["right", v], new["wrong", v] = rate(right, off, PRIOR * got["all"]), rate(wrong, missed)
+            new["silent", v] = max(0.0, 1 - (right + off + wrong + missed) / got["all"])
+        change = max(abs(new[k] - model[k]) for k in new)
+        model = new
+        if change < STILL:
+            break
     return model
 
 

@@ -2,9 +2,10 @@
 
 import collections
 import hashlib
+import math
 import os
+import random
 import re
-import math
 import zlib
 
 import numpy as np
@@ -299,6 +300,47 @@ def test_quality_finds_labelled_junk(spark):
     assert share[1] > 0.98 and share.get(0, 0) < 0.1
 
 
+def planted_votes(spark, right, wrong, silent=0.2, good=0.75, n=30000):
+    """Votes of independent rules of known accuracy on documents of known class, as counts of patterns."""
+    r = random.Random(5)
+    counts = collections.Counter()
+    for _ in range(n):
+        is_good = r.random() < good
+        votes = []
+        for hit_good, hit_bad in zip(right, wrong, strict=True):
+            vote = (1 if r.random() < hit_good else -1) if is_good else (-1 if r.random() < hit_bad else 1)
+            votes.append(0 if r.random() < silent else vote)
+        counts[tuple(votes)] += 1
+    names = [f"v{k}" for k in range(len(right))]
+    return names, spark.createDataFrame([(*v, c) for v, c in counts.items()], [*names, "n"])
+
+
+@pytest.mark.parametrize("right, wrong", [
+    ([0.95, 0.9, 0.97, 0.85, 0.99, 0.8], [0.8, 0.7, 0.6, 0.75, 0.5, 0.65]),
+    ([0.95, 0.9, 0.97, 0.85, 0.99, 0.4], [0.8, 0.7, 0.6, 0.75, 0.5, 0.55]),  # the last rule is worse than chance
+])
+def test_votes_of_known_accuracy_are_recovered(spark, right, wrong):
+    names, patterns = planted_votes(spark, right, wrong)
+    model = quality.fit_votes(patterns.coalesce(1), names)
+    assert abs(model["good"] - 0.75) < 0.05
+    for k, v in enumerate(names):
+        assert abs(model["right", v] - right[k]) < 0.05 and abs(model["wrong", v] - wrong[k]) < 0.05
+        assert abs(model["silent", v] - 0.2) < 0.02
+    assert quality.fit_votes(patterns.limit(0), names)["good"] == quality.GOOD
+
+
+def test_a_noisy_rule_loses_its_say(spark):
+    """One vote against a document counts while its rule is sound, and no longer when it votes at random."""
+    right, wrong = [0.98, 0.97, 0.99, 0.95], [0.85, 0.8, 0.9, 0.7]
+    against = spark.createDataFrame([(1, 0, 0, -1)], ["v0", "v1", "v2", "v3"])
+    say = []
+    for r, w in ((0.995, 0.9), (0.5, 0.5)):
+        names, patterns = planted_votes(spark, [*right[:3], r], [*wrong[:3], w])
+        model = quality.fit_votes(patterns.coalesce(1), names)
+        say.append(against.select(quality._posterior(names, model)).first()[0])
+    assert say[0] < 0.5 < 0.9 < say[1]
+
+
 def test_lm(spark, small, none, tmp_path):
     small.write.parquet(f"{tmp_path}/d.parquet")
     docs = spark.read.parquet(f"{tmp_path}/d.parquet")
