@@ -303,20 +303,62 @@ def _any_of(tests: Sequence[Column]) -> Column:
     return done
 
 
-# Nested objects are flattened to this depth; deeper ones stay JSON text.
+# Objects on a live stream are flattened to this depth; deeper ones stay JSON text. On a table the depth is measured.
 JSON_DEPTH = 5
 
+# A JSON parser rewrites 1.50 and 1e3. Such numbers go through it as marked texts: everything up to a number outside of
+# quotes, then the number. The mark is a private-use character.
+MARK = "\ue0f1"
+NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+(?![0-9.eE+-])"
+BEFORE_NUMBER = r'\G((?:[^"0-9-]++|"(?:[^"\\]++|\\.)*+")*+)'
 
-def flat_json(df: DataFrame, text: Column, name: str, preserve: Sequence[str] = (), depth: int = JSON_DEPTH) -> DataFrame:
+
+def _kept_numbers(text: Column) -> Column:
+    """JSON text whose numbers are marked texts, if a parser would change one."""
+    marked = F.regexp_replace(text, f"(?s){BEFORE_NUMBER}({NUMBER})", f'$1"{MARK}$2"')
+    return F.when(text.rlike("[0-9][.eE]|[0-9]{16}|-0"), marked).otherwise(text)
+
+
+def _as_written(value: Column) -> Column:
+    """A value out of marked text: a number itself, or JSON text with its numbers."""
+    inner = F.regexp_replace(value, f'"{MARK}({NUMBER})"', "$1")
+    alone = F.when(value.startswith(MARK), value.substr(F.lit(2), F.length(value))).otherwise(inner)
+    return F.when(value.contains(MARK), alone).otherwise(value)
+
+
+def json_depth(text: Column) -> Column:
+    """Levels of braces in a JSON text, those inside texts left out. Few texts have more than one pair; they are walked."""
+    opened = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    braces = F.regexp_replace(text, r'(?s)"(?:[^"\\]++|\\.)*+"|[^{}"]++', "")
+    walked = F.aggregate(
+        F.split(braces, ""),
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda a, c: _deeper(a, F.when(c == "{", 1).when(c == "}", -1).otherwise(0)),
+        lambda a: a["most"],
+    )
+    return F.when(opened <= 2, opened).otherwise(walked)
+
+
+def _deeper(a: Column, by: Column) -> Column:
+    now = a["now"] + by
+    return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+
+def flat_json(df: DataFrame, text: Column, name: str, preserve: Sequence[str] = (), depth: int | None = None) -> DataFrame:
     """Add the flat entries ``a.b`` -> text of a JSON object; preserved keys keep their JSON.
 
-    One level is opened per step, and rows without a nested object skip the step.
+    One level is opened per step, and rows without a nested object skip the step. Without a depth the deepest text of
+    a table is looked for in one pass over the texts. Numbers stay as they are written.
     """
-    df = df.withColumn(name, F.map_entries(F.from_json(text, "map<string,string>")))
+    if depth is None:
+        depth = JSON_DEPTH if df.isStreaming else df.agg(F.max(json_depth(text))).first()[0] or 1
+    df = df.withColumn(name, F.map_entries(F.from_json(_kept_numbers(text), "map<string,string>")))
     for _ in range(depth - 1):
         opened = F.flatten(F.transform(name, lambda e: _opened(e, preserve)))
         df = df.withColumn(name, F.when(F.exists(name, lambda e: _nested(e, preserve)), opened).otherwise(F.col(name)))
-    return df
+    return df.withColumn(name, F.transform(
+        name, lambda e: F.struct(e["key"].alias("key"), _as_written(e["value"]).alias("value"))
+    ))
 
 
 def _nested(e: Column, preserve: Sequence[str]) -> Column:
@@ -357,13 +399,14 @@ def unpack_json(
     options = dict(keep_original=keep_original, skip_empty=skip_empty, iff=iff)
     text = val(from_)
     if all(not f.endswith("*") for f in fields) and not preserve_keys:
-        parsed = F.try_parse_json(text)
+        parsed = F.try_parse_json(_kept_numbers(text))
         new = {}
         for f in fields:
             path = "$" + "".join(_step(p) for p in f.split("."))
             whole = "$" + _step(f)
             read = F.try_variant_get(parsed, path, "string")
-            new[result_prefix + f] = F.coalesce(read, F.try_variant_get(parsed, whole, "string") if "." in f else F.lit(None), F.lit(""))
+            found = F.coalesce(read, F.try_variant_get(parsed, whole, "string") if "." in f else F.lit(None), F.lit(""))
+            new[result_prefix + f] = _as_written(found)
         return assign(df, new, **options)
     entries = flat_json(df, text, "__json", preserve_keys)
     return _unpacked(entries, F.col("__json"), fields, result_prefix, bound, **options).drop("__json")

@@ -174,6 +174,33 @@ def _unpack_json_existing(spark, sf):
     return shape.unpack_json(rows, "doc").drop("doc")
 
 
+@register("E18_unpack_json_deep", """SELECT event_id, user_id::VARCHAR AS "a.b.c.d.e.f.g", event_type AS "a.b.k", '{h' AS "a.b.c.t" FROM events""")
+def _unpack_json_deep(spark, sf):
+    """Seven levels, found in the data."""
+    inner = "named_struct('t', '{h', 'd', named_struct('e', named_struct('f', named_struct('g', user_id))))"
+    doc = f"to_json(named_struct('a', named_struct('b', named_struct('k', event_type, 'c', {inner}))))"
+    return shape.unpack_json(_texts(spark, sf, doc=doc).select("event_id", "doc"), "doc").drop("doc")
+
+
+def _numbers(spark, sf):
+    doc = """concat('{"p":', event_id, '.50,"e":{"x":', event_id, 'e3},"t":"say \\\\"1.50\\\\" 2e5","l":[1.0,-0,"7.0"],"n":12345678901234567890123}')"""
+    return _texts(spark, sf, doc=doc).select("event_id", "doc")
+
+
+NUMBERS = """SELECT event_id, event_id || '.50' AS p, event_id || 'e3' AS "e.x", 'say "1.50" 2e5' AS t, '[1.0,-0,"7.0"]' AS l, '12345678901234567890123' AS n FROM events"""
+
+
+@register("E18_unpack_json_numbers", NUMBERS)
+def _unpack_json_numbers(spark, sf):
+    """Numbers as they are written, alone and in lists."""
+    return shape.unpack_json(_numbers(spark, sf), "doc").drop("doc")
+
+
+@register("E18_unpack_json_numbers_named", NUMBERS)
+def _unpack_json_numbers_named(spark, sf):
+    return shape.unpack_json(_numbers(spark, sf), "doc", ["p", "e.x", "t", "l", "n"]).drop("doc")
+
+
 @register("E19_unpack_logfmt_existing", """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type ELSE 'keep' END AS level, CASE WHEN event_id % 2 = 1 THEN user_id::VARCHAR ELSE '' END AS other FROM events""")
 def _unpack_logfmt_existing(spark, sf):
     line = "if(event_id % 2 = 0, concat('level=', event_type), concat('other=', user_id))"

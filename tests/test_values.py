@@ -1,5 +1,6 @@
 """Edge values of coercion, filters, time arguments, text and JSON handling."""
 
+import json
 from datetime import datetime
 
 import pytest
@@ -183,6 +184,22 @@ def test_json_unpacking(spark):
     assert kept == '{"c":"x","d":[1,2]}'
 
 
+def test_json_numbers_and_depth(spark):
+    deep = '{"v":1.50}'
+    for _ in range(8):
+        deep = '{"o":' + deep + "}"
+    long_text = '"' + "\\\\" * 20000 + ' 1.5 {{{{"'
+    docs = [deep, '{"t":' + long_text + ',"v":-0.10}', '{"v":1.5.2}', '{"v": 1E+2 , "w":[ 1.0,{"z":2.50}]}', "{}", "", None]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, _msg string")
+    rows = [r.asDict() for r in shape.unpack_json(df, preserve_keys=["w"]).orderBy("id").collect()]
+    name = ".".join("o" * 8) + ".v"
+    assert rows[0][name] == "1.50" and rows[1]["v"] == "-0.10" and rows[1]["t"] == json.loads(long_text)
+    assert [r["v"] for r in rows[2:]] == ["", "1E+2", "", "", ""] and rows[3]["w"] == '[1.0,{"z":2.50}]'
+    named = [tuple(r) for r in shape.unpack_json(df, fields=["v", "w"]).select("v", "w").orderBy("id").collect()]
+    assert named == [("", ""), ("-0.10", ""), ("", ""), ("1E+2", '[1.0,{"z":2.50}]'), ("", ""), ("", ""), ("", "")]
+    assert [r[0] for r in df.select(shape.json_depth(F.col("_msg"))).orderBy("id").collect()][:5] == [9, 1, 1, 2, 1]
+
+
 def test_keys_beyond_the_bound_stay_in_the_map(spark):
     df = spark.createDataFrame([("a=1 b=2 c=3",), ("a=4 b=5",)], "_msg string")
     rows = shape.unpack_logfmt(df, bound=2).collect()
