@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skeinlog.model import EXTRA, attach, col, expand, field_name, group_key, is_text, ordering, out, quoted, tie_break, unique_name, val
-from skeinlog.operators.slices import Key, positioned
+from skeinlog.operators.slices import Key, in_order, positioned
 
 SortBy = "str | tuple[str, bool]"
 
@@ -69,12 +69,11 @@ def sort(
         first = first.withColumn("__pos", F.row_number().over(Window.orderBy(*columns))).where(F.col("__pos") > offset)
         return first.withColumnRenamed("__pos", rank) if rank else first.drop("__pos")
     if limit or offset or rank:
-        ranked = positioned(df, [], keys, "__pos")
+        ranked = in_order(df, keys, "__pos")
         if offset:
             ranked = ranked.where(F.col("__pos") > offset)
         if limit:
             ranked = ranked.where(F.col("__pos") <= upto)
-        ranked = ranked.orderBy("__pos")
         return ranked.withColumnRenamed("__pos", rank) if rank else ranked.drop("__pos")
     return df.orderBy(*columns)
 

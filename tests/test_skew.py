@@ -70,3 +70,35 @@ def test_lists_as_rows_have_no_bound(spark, monkeypatch):
     assert a.value_rows(rows.limit(0), ["g"], "v").count() == 0
     with pytest.raises(ValueError, match="rename"):
         a.value_rows(rows.withColumnRenamed("g", "value"), ["value"], "v")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_sliced_rows_lie_in_order_without_another_sort(spark, tiny_groups, desc):
+    rows = spark.range(1000).select("id", (F.col("id") * 7919 % 1000).alias("v"), F.when(F.col("id") % 3 > 0, F.col("id") % 10).alias("k"))
+    rows = rows.repartition(5)
+    by = [("k", not desc), ("v", desc)]
+    plain = order.sort(rows, by, offset=100, rank="r", tie=["id"]).collect()
+    tiny_groups(True)
+    done = order.sort(rows, by, offset=100, rank="r", tie=["id"])
+    assert done.collect() == plain and [r["r"] for r in plain] == list(range(101, 1001))
+    # one shuffle brings the wide rows to their slices; the carried table is narrow
+    assert _plan(done).count("Exchange rangepartitioning") == 0
+
+
+def test_slices_read_no_column_that_nobody_asks_for(spark, tiny_groups, tmp_path):
+    spark.range(600).select("id", F.col("id").cast("string").alias("wide")).write.parquet(str(tmp_path / "t"))
+    tiny_groups(True)
+    done = order.sort(spark.read.parquet(str(tmp_path / "t")), ["id"], offset=10, rank="r").select("id", "r")
+    assert "wide" not in _plan(done)
+    assert sorted(r["r"] for r in done.collect()) == list(range(11, 601))
+
+
+def test_equal_order_values_are_cut_by_content(spark, tiny_groups):
+    rows = spark.range(600).select(F.lit(1).alias("v"), "id")
+    tiny_groups(True)
+    done = order.sort(rows, ["v"], offset=100, rank="r", tie=["v"]).collect()
+    assert [r["r"] for r in done] == list(range(101, 601)) and len({r["id"] for r in done}) == 500
