@@ -255,8 +255,12 @@ def discover(keys: Column, df: DataFrame, bound: int = MAX_DISCOVERED_KEYS) -> t
     return sorted(r["k"] for r in rows[:bound]), len(rows) > bound
 
 
-def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str, bound: int = MAX_DISCOVERED_KEYS, **options) -> DataFrame:
-    """Fields out of an array of (key, value); names beyond the discovery bound stay in the extra map.
+def _unpacked(
+    df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str, bound: int = MAX_DISCOVERED_KEYS,
+    read: Callable[[Column], Column] = lambda value: value, **options
+) -> DataFrame:
+    """Fields out of an array of (key, value); names beyond the discovery bound stay in the extra map. Keys are found
+    without a look at values; ``read`` makes the text of a field out of a value.
 
     A key given twice keeps its first value. A field that only a wildcard names changes in those rows that hold it; a
     field named in full becomes empty in the others. Each row's entries are read once, however many fields there are.
@@ -271,7 +275,7 @@ def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str
     open_ended = [w[:-1] for w in wanted if w.endswith("*")]
     named, rest = list(exact), False
     if open_ended:
-        keys = F.map_keys("__map")
+        keys = F.array_distinct("__keys")
         some = keys if "" in open_ended else F.filter(keys, lambda k: _any_of([k.startswith(p) for p in open_ended]))
         found, rest = discover(some, source, bound)
         exact += [k for k in found if k not in exact]
@@ -281,13 +285,13 @@ def _unpacked(df: DataFrame, entries: Column, wanted: Sequence[str], prefix: str
         source = source.withColumn("__fields", F.from_json(F.to_json("__map"), shape))
         new = {}
         for k in exact:
-            value, old = F.col("__fields").getField(k), field_name(prefix + k)
+            value, old = read(F.col("__fields").getField(k)), field_name(prefix + k)
             kept = val(old) if k not in named and old in df.columns else F.lit("")
             new[prefix + k] = F.coalesce(value, kept)
         done = assign(source, new, **options)
     if rest:
         left = F.map_filter("__map", lambda k, _: ~k.isin(exact) & _any_of([k.startswith(p) for p in open_ended]))
-        more = F.transform_keys(left, lambda k, _: F.concat(F.lit(prefix), k))
+        more = F.transform_values(F.transform_keys(left, lambda k, _: F.concat(F.lit(prefix), k)), lambda _, v: read(v))
         old = col(EXTRA) if EXTRA in df.columns else F.create_map().cast("map<string,string>")
         keep = F.map_filter(old, lambda k, _: ~F.array_contains(F.map_keys(more), k))
         test = options.get("iff")
@@ -328,7 +332,7 @@ def _as_written(value: Column) -> Column:
 
 def json_depth(text: Column) -> Column:
     """Levels of braces in a JSON text, those inside texts left out. Few texts have more than one pair; they are walked."""
-    opened = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    opened = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("{"), F.lit("")))
     braces = F.regexp_replace(text, r'(?s)"(?:[^"\\]++|\\.)*+"|[^{}"]++', "")
     walked = F.aggregate(
         F.split(braces, ""),
@@ -348,7 +352,7 @@ def flat_json(df: DataFrame, text: Column, name: str, preserve: Sequence[str] =
     """Add the flat entries ``a.b`` -> text of a JSON object; preserved keys keep their JSON.
 
     One level is opened per step, and rows without a nested object skip the step. Without a depth the deepest text of
-    a table is looked for in one pass over the texts. Numbers stay as they are written.
+    a table is looked for in one pass over the texts. Values are to be read by ``_as_written``: numbers are marked.
     """
     if depth is None:
         depth = JSON_DEPTH if df.isStreaming else df.agg(F.max(json_depth(text))).first()[0] or 1
@@ -356,9 +360,7 @@ def flat_json(df: DataFrame, text: Column, name: str, preserve: Sequence[str] =
     for _ in range(depth - 1):
         opened = F.flatten(F.transform(name, lambda e: _opened(e, preserve)))
         df = df.withColumn(name, F.when(F.exists(name, lambda e: _nested(e, preserve)), opened).otherwise(F.col(name)))
-    return df.withColumn(name, F.transform(
-        name, lambda e: F.struct(e["key"].alias("key"), _as_written(e["value"]).alias("value"))
-    ))
+    return df
 
 
 def _nested(e: Column, preserve: Sequence[str]) -> Column:
@@ -409,7 +411,7 @@ def unpack_json(
             new[result_prefix + f] = _as_written(found)
         return assign(df, new, **options)
     entries = flat_json(df, text, "__json", preserve_keys)
-    return _unpacked(entries, F.col("__json"), fields, result_prefix, bound, **options).drop("__json")
+    return _unpacked(entries, F.col("__json"), fields, result_prefix, bound, _as_written, **options).drop("__json")
 
 
 LOGFMT = r'([^\s="]+)=("(?:[^"\\]|\\.)*"|[^\s"]*)'

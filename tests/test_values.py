@@ -343,3 +343,21 @@ def test_phrases_that_begin_alike_are_no_hot_key(spark):
     offered = texts.select("id", F.explode(combine._runs(F.split("t", " "), 3, " ")).alias("k"))
     keys = phrases.select(F.get(combine._runs(F.split("p", " "), 3, " "), F.lit(0)).alias("k"))
     assert offered.join(keys, "k").count() == 200
+
+
+def test_keys_of_json_are_found_without_reading_values(spark, monkeypatch):
+    plans, found = [], shape.discover
+
+    def seen(keys, df, bound):
+        plans.append(df.select(F.explode(keys))._jdf.queryExecution().optimizedPlan().toString())
+        return found(keys, df, bound)
+
+    monkeypatch.setattr(shape, "discover", seen)
+    docs = ['{"a":1.50,"b":{"c":[1e3,"1.0"],"a.b":-0},"a":2}', '{"b":7}', "no json", None]
+    done = shape.unpack_json(spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, doc string"), "doc").drop("doc")
+    assert "map_from_entries" not in plans[0] and shape.MARK not in plans[0].split("array_distinct")[1].split("\n")[0]
+    assert done.columns == ["i", "a", "b", "b.a.b", "b.c"]
+    assert [tuple(r) for r in done.orderBy("i").collect()] == [
+        (0, "1.50", "", "-0", '[1e3,"1.0"]'), (1, "", "7", "", ""), (2, "", "", "", ""), (3, "", "", "", "")]
+    few = shape.unpack_json(spark.createDataFrame([('{"a":1.0,"b":[2.50],"c":3e1}',), ('{"a":1}',)], "doc string"), "doc", bound=1)
+    assert few.select(shape.EXTRA).first()[0] == {"b": "[2.50]", "c": "3e1"}
