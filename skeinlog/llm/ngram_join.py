@@ -5,6 +5,9 @@ into one segment a fragment. Pairs to look at come from the rare end: two linked
 few of each. For such a pair every fragment counts the overlap of two short segments on its own; the sum over fragments is
 the whole overlap, and decides.
 
+Two of a bucket that stay apart are looked at by sketches first: each counts its n-grams by cells of a hash, and two sets
+differ in no fewer n-grams than their counts do. So pairs that are counted out are about as many as links.
+
 Before that, a fixed part of all n-grams sieves the documents: one that holds more n-grams there that no other has than it
 may miss in all is linked with nothing. Equal sets are one node from then on. Links serve to join documents, so a bucket of many like documents is not paired
 out: its members meet one middle member first, and only those that this leaves apart meet the others.
@@ -39,6 +42,8 @@ HOT_BITS, HOT_LEAST = 17, 1000
 SIEVE, FILTER_BITS = 4, 27
 #: Members of a bucket that are compared at once.
 BLOCK = 256
+#: Counters of a sketch, a byte each.
+SKETCH_BITS = 8
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -188,6 +193,21 @@ def _pairs_with_hubs(members: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
+def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many n-grams of each node fall into each cell of a hash, 255 at most."""
+    cells = 1 << SKETCH_BITS
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(at, BLOCK)
+                grams = part.column("grams")
+                cell = (np.asarray(grams.flatten()).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SKETCH_BITS)
+                owner = np.repeat(np.arange(len(grams)), np.asarray(grams.value_lengths()))
+                counts = np.bincount(owner * cells + cell.astype(np.int64), minlength=len(grams) * cells)
+                told = np.minimum(counts, 255).astype(np.uint8).reshape(-1, cells)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([x.tobytes() for x in told], pa.binary())], ["node", "sketch"])
+
+
 def _block_pairs(percent: int, best: bool):
     """Pairs of two blocks of one bucket that lie in different components and may be linked by what their segments of the
     bucket's fragment share; each pair in the bucket of the first n-gram that they share there. With best, of a node's
@@ -199,6 +219,7 @@ def _block_pairs(percent: int, best: bool):
         return (
             *(np.asarray(rows.field(c)).astype(np.int64) for c in ("node", "component", "size", "lost")),
             np.asarray(grams.flatten()), np.asarray(grams.value_lengths()).astype(np.int64),
+            np.frombuffer(b"".join(rows.field("sketch").to_pylist()), np.uint8).reshape(len(rows), -1).astype(np.int16),
         )
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,19 +227,23 @@ def _block_pairs(percent: int, best: bool):
             out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             keys, mains = batch.column("key").to_pylist(), batch.column("main").to_pylist()
             for key, main, x, y in zip(keys, mains, batch.column("few"), batch.column("many"), strict=True):
-                (n, c, s, u, g, k), (m, d, t, v, h, l) = side(x), side(y)
+                (n, c, s, u, g, k, few), (m, d, t, v, h, l, many) = side(x), side(y)
                 ends, owner = np.cumsum(k), np.repeat(np.arange(len(m)), l)
                 for i in range(len(n)):
+                    # linked sets share at least this, and differ in no more than the rest
+                    share = -(-percent * (s[i] + t) // (100 + percent))
+                    # two that are both outside the largest component meet twice: once is enough
+                    out = (d != c[i]) & ((d == main) | (m > n[i]))
+                    out &= np.abs(many - few[i]).sum(axis=1) <= s[i] + t - 2 * share
+                    if not out.any():
+                        continue
                     hit = np.flatnonzero(np.isin(h, g[ends[i] - k[i] : ends[i]]))
                     both = np.bincount(owner[hit], minlength=len(m))
                     first = np.zeros(len(m), np.int64)
                     first[owner[hit][::-1]] = h[hit][::-1]
-                    # linked sets share at least this. What either has alone, in earlier fragments (a pair that shares some
-                    # of that is met in a bucket there) or leaves out in this fragment is lost to it.
-                    share = -(-percent * (s[i] + t) // (100 + percent))
-                    out = (u[i] + k[i] - both <= s[i] - share) & (v + l - both <= t - share)
-                    # two that are both outside the largest component meet twice: once is enough
-                    out &= (first == key) & (d != c[i]) & ((d == main) | (m > n[i]))
+                    # What either has alone, in earlier fragments (a pair that shares some of that is met in a bucket there)
+                    # or leaves out in this fragment is lost to it.
+                    out &= (u[i] + k[i] - both <= s[i] - share) & (v + l - both <= t - share) & (first == key)
                     out = np.flatnonzero(out)
                     if best and len(out) > 1:
                         out = out[np.lexsort((m[out], -both[out], d[out]))]
@@ -230,7 +255,9 @@ def _block_pairs(percent: int, best: bool):
     return rows
 
 
-def _pairs_left(members: DataFrame, found: DataFrame, parts: DataFrame, percent: int, best: bool) -> DataFrame:
+def _pairs_left(
+    members: DataFrame, found: DataFrame, parts: DataFrame, sketches: DataFrame, percent: int, best: bool
+) -> DataFrame:
     """Pairs across components that may be linked, from buckets that the links so far leave in more than one."""
     at = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = at.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -239,9 +266,9 @@ def _pairs_left(members: DataFrame, found: DataFrame, parts: DataFrame, percent:
     ).where("parts > 1").select("key", F.col("main.component").alias("main"), "all")
     rows = at.select("key", "node", "component", "size", "lost", "fragment").join(split, "key").join(
         parts.select("node", "fragment", "grams"), ["node", "fragment"]
-    )
+    ).join(sketches, "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / BLOCK).cast("long"))
-    held = F.collect_list(F.struct("node", "component", "size", "lost", "grams"))
+    held = F.collect_list(F.struct("node", "component", "size", "lost", "grams", "sketch"))
     rows = rows.withColumn("block", block)
     few = rows.where("component != main").groupBy("key", "block").agg(held.alias("few"), F.first("main").alias("main"))
     many = rows.groupBy("key", "block").agg(held.alias("many"))
@@ -259,11 +286,13 @@ def linked(nodes: DataFrame, percent: int, fragments: int = FRAGMENTS) -> DataFr
     )
     shared = early.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = cut(early.join(shared, "key"))
+    met = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "grams")
+    sketches = cut(met.mapInArrow(_sketches, "node long, sketch binary"))
     links = _links(_pairs_with_hubs(members, percent), parts, percent)
     found = components(links)
     # the likeliest partner in each component first: where it joins a node to a cloud, the cloud's others need no look
     for best in (True, False):
-        left = cut(_pairs_left(members, found, parts, percent, best))
+        left = cut(_pairs_left(members, found, parts, sketches, percent, best))
         if not left.take(1):
             break
         links = links.union(_links(left, parts, percent))

@@ -92,6 +92,43 @@ def test_clouds(clouds, fragments, hot, block, monkeypatch):
     assert found(nj.join_components(clouds, 90, 3, fragments)) == joined(texts(clouds), 90)
 
 
+def test_a_cloud_of_unlinked_variants_is_not_paired_out(spark, monkeypatch):
+    """Variants of one set that are just not linked with each other, some that are: few pairs reach the exact count."""
+    draw = np.random.default_rng(5)
+    base = draw.integers(-(2**63), 2**63, 100)
+    rest = draw.integers(-(2**63), 2**63, 40)
+    sets = [np.unique(np.concatenate([base[draw.random(100) > 0.06], draw.choice(rest, 4)])) for _ in range(150)]
+    sets += [np.append(s[1:], draw.integers(2**62)) for s in sets[:20]]
+    counted, links = [], nj._links
+    monkeypatch.setattr(nj, "_links", lambda pairs, *rest: counted.append(pairs.count()) or links(pairs, *rest))
+    nodes = spark.createDataFrame([(i, len(s), [int(x) for x in s]) for i, s in enumerate(sets)], "node long, n long, grams array<long>")
+    got = {r["node"]: r["component"] for r in nj.linked(nodes, 90).collect()}
+    root = list(range(len(sets)))
+    true = 0
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                true += 1
+                old, new = root[a], root[b]
+                root = [new if x == old else x for x in root]
+    want = collections.Counter(root)
+    assert {k: v for k, v in want.items() if v > 1} and len(got) == sum(v for v in want.values() if v > 1)
+    assert len({(got[i], root[i]) for i in got}) == len({root[i] for i in got}) == len(set(got.values()))
+    assert sum(counted[1:]) < true  # beyond the pairs with hubs
+
+
+def test_sketches_never_differ_by_more_than_the_sets(spark):
+    draw = np.random.default_rng(3)
+    base = draw.integers(-(2**63), 2**63, 3000)
+    sets = [np.unique(np.concatenate([draw.choice(base, int(k), replace=False), draw.integers(0, 9, 5)])) for k in draw.integers(1, 3000, 30)]
+    nodes = spark.createDataFrame([(i, [int(x) for x in s]) for i, s in enumerate(sets)], "node long, grams array<long>")
+    got = {r["node"]: np.frombuffer(r["sketch"], np.uint8).astype(int) for r in nodes.mapInArrow(nj._sketches, "node long, sketch binary").collect()}
+    for a in range(30):
+        for b in range(30):
+            assert np.abs(got[a] - got[b]).sum() <= len(np.setxor1d(sets[a], sets[b]))
+
+
 def test_overlaps_are_sums_over_fragments(spark):
     draw = np.random.default_rng(2)
     sets = [np.unique(np.concatenate([draw.choice(300, 80), draw.integers(300, 2**62, 3)])) for _ in range(12)]
