@@ -16,13 +16,18 @@ from skeinlog.streaming import live
 
 NOW = {"availableNow": True}
 ALL = "400d"  # the slices come in any order, and no row counts as late
+#: Micro-batches of a live source, and rows of a file, about.
+BATCHES, FILE_ROWS = 3, 250_000
 
 
-def slices(spark, rows: DataFrame, by: str, files_per_batch: int = 2) -> DataFrame:
-    """The rows as a live source: files that arrive over several micro-batches."""
+def slices(spark, rows: DataFrame, by: str, count: int | None = None) -> DataFrame:
+    """The rows as a live source: files that arrive over three micro-batches. A file is what one task writes and reads, so
+    there are as many as the rows (``count``, if known) need."""
     path = scratch(spark, "live")
-    rows.repartition(6, by).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    count = rows.count() if count is None else count
+    per_batch = max(2, -(-count // (BATCHES * FILE_ROWS)))
+    rows.repartition(BATCHES * per_batch, by).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 def live_logs(spark, sf) -> DataFrame:
@@ -107,7 +112,8 @@ def _l5_sliding(spark, sf):
 @register("L6_stream_merge_partials", "SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS at, event_type, count(*)::DOUBLE AS n, max(value) AS hi FROM events GROUP BY 1, 2")
 def _l6(spark, sf):
     parts = partial_stats(federate(clusters(spark, sf)), ["event_type", Bucket("_time", "1d", name="ts")], n=a.count(), hi=a.max_("value"))
-    merged = live.stream_merge_partials(slices(spark, parts, CLUSTER), ["event_type"], {"n": "count", "hi": "max"}, late=ALL)
+    few = 0  # a row for each cluster, type and day: not worth a second run to count them
+    merged = live.stream_merge_partials(slices(spark, parts, CLUSTER, few), ["event_type"], {"n": "count", "hi": "max"}, late=ALL)
     done = upserted(spark, merged, ["ts", "event_type"])
     return done.select(F.date_format("ts", "yyyy-MM-dd").alias("at"), "event_type", "n", "hi")
 

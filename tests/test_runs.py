@@ -8,6 +8,7 @@ from rows import rows_of
 
 from skeinlog.functions import aggs as a
 from skeinlog.operators import windows
+from skeinlog.plans import catalog_live
 from skeinlog.streaming import live
 from skeinlog.streaming.runs import Runs
 
@@ -91,3 +92,18 @@ def test_running_stats_write_their_own_groups_only(spark, tmp_path):
     assert spark.read.parquet(f"{state}/run/0-0").count() == 2000
     assert {spark.read.parquet(f"{state}/run/{i}-{i}").count() for i in range(1, 6)} == {2}
     assert "0-3" in folders(state)
+
+
+def test_files_of_a_live_source_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog_live, "FILE_ROWS", 50)
+    rows = spark.range(3_000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    read = catalog_live.slices(spark, rows, "id")
+    sizes, batches = [], []
+
+    def seen(batch, number):
+        batches.append(batch.count())
+        sizes.extend(r["n"] for r in batch.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect())
+
+    read.writeStream.foreachBatch(seen).option("checkpointLocation", str(tmp_path / "c")).trigger(**ONCE).start().awaitTermination()
+    assert sum(sizes) == sum(batches) == 3_000 and len(batches) == 3
+    assert len(sizes) == 60 and max(sizes) < 100
