@@ -158,15 +158,17 @@ def math_number(f) -> Column:
 
 
 def duration_text(ns: Column) -> Column:
-    """Nanoseconds to ``1w2d3h4m5.6s``; zero parts are left out."""
+    """Nanoseconds to ``1w2d3h4m5.6s``; zero parts are left out. Decimals may go beyond 64 bits."""
     u = DURATION_UNITS
-    size = F.abs(ns.cast("bigint"))
 
     def whole(rest, unit):
-        return F.when(rest >= u[unit], F.concat(F.floor(rest / F.lit(u[unit]).cast("decimal(20,0)")).cast("string"), F.lit(unit))).otherwise("")
+        return F.when(rest >= u[unit], F.concat(F.floor(rest / F.lit(u[unit])).cast("string"), F.lit(unit))).otherwise("")
 
-    head, rest = [], size
-    for unit in ("w", "d", "h", "m"):
+    # weeks are told in the type of the number; what is left of it is below 2^53, so doubles divide it right
+    left = ns % u["w"]
+    weeks, rest = F.floor(F.abs(ns - left) / F.lit(u["w"]).cast("decimal(20,0)")), F.abs(left.cast("bigint"))
+    head = [F.when(ns != left, F.concat(weeks.cast("string"), F.lit("w"))).otherwise("")]
+    for unit in ("d", "h", "m"):
         head.append(whole(rest, unit))
         rest = rest % u[unit]
     seconds = F.concat(F.regexp_replace((rest / F.lit(1e9)).cast("string"), r"\.0$", ""), F.lit("s"))
@@ -176,8 +178,9 @@ def duration_text(ns: Column) -> Column:
         F.when(us >= 1000, F.concat(F.floor(us / 1000).cast("string"), F.lit("µs"))).otherwise(""),
         F.when(us % 1000 > 0, F.concat((us % 1000).cast("string"), F.lit("ns"))).otherwise(""),
     )
-    body = F.concat(*head, F.when(rest >= u["s"], seconds).otherwise(small))
-    return F.when(ns == 0, F.lit("0")).when(ns < 0, F.concat(F.lit("-"), body)).otherwise(body)
+    # the sign stands beside the parts, not around them: what they share is told once
+    sign = F.when(ns == 0, F.lit("0")).when(ns < 0, F.lit("-")).otherwise("")
+    return F.concat(sign, *head, F.when(rest >= u["s"], seconds).otherwise(small))
 
 
 def float_text(c: Column) -> Column:

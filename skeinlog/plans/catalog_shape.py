@@ -349,8 +349,9 @@ def _coerce(spark, sf):
 
 @register("K6_duration_text", """SELECT event_id, CASE WHEN user_id = 0 THEN '' ELSE user_id || 'w' END || '1d2h3m4.5s' AS a, CASE WHEN user_id = 0 THEN '7µs' ELSE user_id || 'ms7µs' END AS b FROM events""")
 def _duration_text(spark, sf):
-    long = F.col("user_id") * 604800000000000 + 93784500000000
-    return logs(spark, sf).select("event_id", k.duration_text(long).alias("a"), k.duration_text(F.col("user_id") * 1000000 + 7000).alias("b"))
+    user = F.col("user_id").cast("decimal(20,0)")  # 15,251 weeks are more nanoseconds than 64 bits hold
+    long = user * 604800000000000 + 93784500000000
+    return logs(spark, sf).select("event_id", k.duration_text(long).alias("a"), k.duration_text(user * 1000000 + 7000).alias("b"))
 
 
 @register("K7_float_text", "SELECT event_id, regexp_replace(value::VARCHAR, '\\.0$', '') AS a, user_id || CASE WHEN user_id = 0 THEN '' ELSE '0000000' END AS b FROM events")

@@ -2,7 +2,9 @@
 
 import json
 from datetime import datetime
+from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from skeinlog.model import sort_key
 from skeinlog.operators import combine, order, shape
 from skeinlog.operators.stats import Bucket, stats
 from skeinlog.functions import aggs as a
+from skeinlog.plans import catalog_shape  # noqa: F401
+from skeinlog.plans.tables import QUERIES, SQL
 from skeinlog.sources.federation import effective_limit, federate_reporting
 
 
@@ -52,6 +56,39 @@ def test_duration_text(spark, ns, want):
     assert one(spark, ns, k.duration_text(F.col("v")), "bigint") == want
 
 
+WEEK = 604_800_000_000_000
+
+
+@pytest.mark.parametrize("ns,kind,want", [
+    (15_251 * WEEK + 93_784_500_000_000, "decimal(37,0)", "15251w1d2h3m4.5s"),
+    (-(1 << 63) * WEEK - 1500, "decimal(38,0)", "-9223372036854775808w1µs500ns"),
+    (10**38 - 1, "decimal(38,0)", f"{(10**38 - 1) // WEEK}w6d9h46m39.999999999s"),
+    (WEEK - 1, "decimal(38,0)", "6d23h59m59.999999999s"),
+    ((1 << 63) - 1, "bigint", "15250w1d23h47m16.854775807s"),
+    (-(1 << 63), "bigint", "-15250w1d23h47m16.854775808s"),
+    (604_800_000_000_001.75, "double", "1w1ns"),
+    (None, "decimal(38,0)", ""),
+])
+def test_duration_text_beyond_64_bits(spark, ns, kind, want):
+    value = Decimal(ns) if ns is not None and kind.startswith("decimal") else ns
+    assert one(spark, value, k.duration_text(F.col("v")), kind) == want
+
+
+def test_duration_text_query_takes_any_user(spark, tmp_path):
+    users = [0, 7, 999, 15_250, 15_251, 89_999, 539_999, (1 << 63) - 1]
+    events = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    rows = [(i, datetime(2024, 1, 1), user, "view", 1.0, "{}") for i, user in enumerate(users)]
+    spark.createDataFrame(rows, events).write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["event_id"]: r for r in QUERIES["K6_duration_text"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = {i: (a, b) for i, a, b in con.execute(f"SELECT event_id, a, b FROM ({SQL['K6_duration_text']})").fetchall()}
+    assert {i: r["a"] for i, r in got.items()} == {i: a for i, (a, _) in want.items()}
+    assert [got[i]["b"] for i in (0, 1, 2)] == [want[i][1] for i in (0, 1, 2)]
+    assert [got[i]["b"] for i in (3, 6)] == ["15.250007s", "8m59.999007s"]  # seconds have a fraction, also where the SQL writes ms
+    assert got[7]["b"].startswith(f"{((1 << 63) - 1) * 1_000_000 // WEEK}w")
+
+
 @pytest.mark.parametrize("x,want", [(5.0, "5"), (1e21, "1e+21"), (1e20, "100000000000000000000"), (1.5e-7, "1.5e-07"), (0.1, "0.1"), (123456789.25, "123456789.25"), (0.0, "0"), (float("nan"), "NaN")])
 def test_float_text(spark, x, want):
     assert one(spark, x, k.float_text(F.col("v")), "double") == want
